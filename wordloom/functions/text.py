@@ -11,8 +11,6 @@ Java/Scala string semantics the original job relies on are reproduced exactly:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,10 +42,15 @@ def java_trim(c) -> Column:
     return F.trim(col_(c), F.lit(_JAVA_WS))
 
 
+def rx_quote(s: str) -> str:
+    """Escape regex metacharacters (same result in Java regex and RE2)."""
+    return "".join("\\" + ch if ch in "\\^$.|?*+()[]{}" else ch for ch in s)
+
+
 def java_split(c, sep: str = " ") -> Column:
     """``String.split(quote(sep))`` with Java's treatment of empty parts."""
     c = col_(c)
-    q = re.escape(sep)
+    q = rx_quote(sep)
     if len(sep) == 1:
         stripped = F.rtrim(c, F.lit(sep))
     else:

@@ -7,7 +7,7 @@ same name in :mod:`wordloom.functions`. Patterns are the same strings the Spark
 from __future__ import annotations
 
 from wordloom import constants as K
-from wordloom.functions.text import MARKUP_PATTERN, WORD_TOKEN_PATTERN
+from wordloom.functions.text import MARKUP_PATTERN, WORD_TOKEN_PATTERN, rx_quote
 
 
 def lit(s: str) -> str:
@@ -27,8 +27,7 @@ def java_split(x: str, sep: str = " ") -> str:
     if len(sep) == 1:
         stripped = f"rtrim({x}, {lit(sep)})"
     else:
-        import re
-        stripped = f"regexp_replace({x}, {lit('(?:' + re.escape(sep) + ')+$')}, '')"
+        stripped = f"regexp_replace({x}, {lit('(?:' + rx_quote(sep) + ')+$')}, '')"
     return (f"(CASE WHEN {x} = '' THEN [''] WHEN {stripped} = '' THEN []::VARCHAR[] "
             f"ELSE string_split({stripped}, {lit(sep)}) END)")
 
