@@ -13,10 +13,11 @@ from wordloom.functions.hashing import md5_bucket
 from wordloom.functions.text import strip_markup, words_only
 
 
-def word_records(docs: DataFrame, label: str = "lang", id_col: str = "doc_id",
+def word_records(docs: DataFrame, label: str | None = "lang", id_col: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """``(doc_id, label, words)``: markup stripped (T1), then words only."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(label).alias("label"),
+    lab = F.col(label) if label else F.lit(None).cast("string")
+    return docs.select(F.col(id_col).alias("doc_id"), lab.alias("label"),
                        words_only(strip_markup(text)).alias("words"))
 
 

@@ -8,6 +8,7 @@ columns) used for model training live in :mod:`wordloom.plans.models`.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -95,35 +96,53 @@ def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str
     return df.withColumn(col, pad(as_double_array(col), length, over))
 
 
-def class_log_scores(train: DataFrame, score: DataFrame, label: str = "label", text: str = "words",
-                     vocabulary_size: int = K.WCP_VOCABULARY_SIZE) -> DataFrame:
-    """F13 built as intended: for each text and class, the sum over its tokens of
-    ``ln(p_c(token))`` with ``p_c(w) = (1 + n_cw) / (V + T_c)`` (A3's smoothing; an unseen word
-    has ``n_cw = 0``). Output ``(doc_id, label, score)``.
+@dataclass
+class WcpModel:
+    """Per-class word counts ``(label, word, n)`` and the class list with ``ln(V + T_c)``."""
+    counts: DataFrame
+    classes: list[tuple]
 
-    Evaluated as ``sum_{seen w} k_w ln(1 + n_cw) - L_d ln(V + T_c)``: only tokens seen in a class
-    meet its counts (an equi-join on the word), and the per-class base term needs just the
-    text length and the class total. The class list (one row per class, checked bounded) is
-    the model's metadata and is expanded per text with an explode, like a K-wide score vector.
-    """
+
+def fit_wcp(train: DataFrame, label: str = "label", text: str = "words",
+            vocabulary_size: int = K.WCP_VOCABULARY_SIZE) -> WcpModel:
+    """Class word counts of the training texts; the class list (one row per class) is checked
+    to be bounded and kept as the model's metadata."""
     cw = (train.select(F.col(label).alias("label"), F.explode(tokens(text)).alias("w"))
           .where(F.col("label").isNotNull())
           .groupBy("label", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n")))
     if not distinct_at_most(train.where(F.col(label).isNotNull()), [label], MAX_CLASSES):
         raise ValueError("too many classes for per-class scores")
     totals = cw.groupBy("label").agg(F.sum("n").alias("T")).orderBy("label").collect()
-    classes = F.array(*[F.struct(F.lit(r["label"]).alias("label"),
-                                 F.lit(math.log(vocabulary_size + r["T"])).alias("lnz")) for r in totals])
-    terms = (score.select(F.col("doc_id"), F.explode(tokens(text)).alias("w"))
+    return WcpModel(cw, [(r["label"], math.log(vocabulary_size + r["T"])) for r in totals])
+
+
+def score_wcp(model: WcpModel, score: DataFrame, text: str = "words", id_col: str = "doc_id") -> DataFrame:
+    """F13 built as intended: for each text and class, the sum over its tokens of
+    ``ln(p_c(token))`` with ``p_c(w) = (1 + n_cw) / (V + T_c)`` (A3's smoothing; an unseen word
+    has ``n_cw = 0``). Output ``(doc_id, label, score)``.
+
+    Evaluated as ``sum_{seen w} k_w ln(1 + n_cw) - L_d ln(V + T_c)``: only tokens seen in a class
+    meet its counts (an equi-join on the word), and the per-class base term needs just the
+    text length and the class total. The class list is expanded per text with an explode of
+    a K-wide literal, like a K-wide score vector; there is no join with the class table.
+    """
+    classes = F.array(*[F.struct(F.lit(c).alias("label"), F.lit(z).alias("lnz")) for c, z in model.classes])
+    terms = (score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w"))
              .groupBy("doc_id", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("k")))
-    seen = (terms.join(cw, "word")
+    seen = (terms.join(model.counts, "word")
             .groupBy("doc_id", "label").agg(F.sum(F.col("k") * F.log1p(F.col("n").cast("double"))).alias("s")))
-    grid = score.select("doc_id", F.size(tokens(text)).alias("L"), F.explode(classes).alias("c")) \
+    grid = score.select(F.col(id_col).alias("doc_id"), F.size(tokens(text)).alias("L"), F.explode(classes).alias("c")) \
         .select("doc_id", F.col("c.label").alias("label"), (-F.col("L") * F.col("c.lnz")).alias("base"))
     return (grid.join(seen, ["doc_id", "label"], "left")
             .select("doc_id", "label", (F.col("base") + F.coalesce("s", F.lit(0.0))).alias("score")))
 
 
+def class_log_scores(train: DataFrame, score: DataFrame, label: str = "label", text: str = "words",
+                     vocabulary_size: int = K.WCP_VOCABULARY_SIZE) -> DataFrame:
+    """fit on ``train`` and score ``score`` in one call."""
+    return score_wcp(fit_wcp(train, label, text, vocabulary_size), score, text)
+
+
 def argmax_label(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Best class per text ``(doc_id, prediction, best_score)``; ties go to the lowest class
     (as a strict ``>`` scan in class order would pick)."""

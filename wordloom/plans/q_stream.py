@@ -1 +1,41 @@
-"""Registered queries."""
+"""Registered streaming query (S14, M7, K1, A9): score the collection in bounded batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wordloom.operators.corpus import split_column, word_records
+from wordloom.operators.features import fit_wcp
+from wordloom.plans.catalog import register
+from wordloom.plans.q_features import WCP_SQL_CTE, WORDS_CTE, TOKS_CTE
+from wordloom.session import table
+from wordloom.streaming import scorer
+
+N_FILES = 8
+
+
+def fitted_model(spark, sf):
+    d = word_records(table(spark, sf, "documents"))
+    model = fit_wcp(d.where(split_column("doc_id") == "train"))
+    # Written once to the shared checkpoint folder: every batch reads the counts, none refits.
+    model.counts = model.counts.checkpoint(eager=True)
+    return model
+
+
+def run(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    model = fitted_model(spark, sf)
+    p = scorer.new_paths(spark)
+    scorer.stage_landing(docs, p["landing"], N_FILES)
+    scorer.run_stream(spark, model, p["landing"], docs.schema, p["cells"], p["counts"], p["checkpoint"])
+    return p
+
+
+@register("stream_score", f"""
+WITH {WCP_SQL_CTE.replace(WORDS_CTE + ',', WORDS_CTE + ', ' + TOKS_CTE + ',', 1)},
+best AS (SELECT doc_id, arg_min(label, (-score, label)) AS prediction FROM sc GROUP BY doc_id)
+SELECT documents.source || '-' || CAST(documents.doc_id AS VARCHAR) AS row_key, best.prediction AS value
+FROM best JOIN documents USING (doc_id)
+""")
+def q_stream_score(spark, sf):
+    return scorer.latest_labels(spark, run(spark, sf)["cells"])
