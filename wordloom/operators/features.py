@@ -152,9 +152,15 @@ def argmax_label(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def label_centroids(df: DataFrame, vec: str = "embedding", label: str = "label") -> DataFrame:
-    """Per-label mean vector ``(label, centroid array<double>)`` via ``Summarizer``."""
-    return (df.groupBy(label).agg(Summarizer.mean(array_to_vector(as_double_array(vec))).alias("_m"))
-            .select(label, vector_to_array("_m").alias("centroid")))
+    """Per-label mean vector ``(label, centroid array<double>)``.
+
+    Element-wise means are a grouped average over ``(label, position)`` (partial aggregation
+    before the shuffle, so the exploded rows never cross the network), then one ordered list per
+    label, whose length is the vector dimension."""
+    el = df.select(label, F.posexplode(as_double_array(vec)).alias("_i", "_v"))
+    means = el.groupBy(label, "_i").agg(F.avg("_v").alias("_m"))
+    return (means.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_s"))
+            .select(label, F.transform("_s", lambda x: x["_m"]).alias("centroid")))
 
 
 def similar_topk(df: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec: str = "embedding",

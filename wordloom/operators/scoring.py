@@ -23,9 +23,8 @@ MAX_MODEL_VALUES = 2_000_000
 
 def model_matrix(model: DataFrame, cls: str = "class", weights: str = "weights") -> list[list[float]]:
     """Collect a bounded linear model, rows ordered by class; classes must be 0..K-1."""
-    if model.limit(MAX_MODEL_VALUES + 1).count() > MAX_MODEL_VALUES:
-        raise ValueError("model too large to score in-row")
-    rows = model.select(F.col(cls).cast("int").alias("c"), weights).orderBy("c").collect()
+    rows = model.select(F.col(cls).cast("int").alias("c"), weights).limit(MAX_MODEL_VALUES + 1).collect()
+    rows = sorted(rows, key=lambda r: r["c"])
     if [r["c"] for r in rows] != list(range(len(rows))):
         raise ValueError("classes must be 0..K-1")
     if sum(len(r[weights]) for r in rows) > MAX_MODEL_VALUES:
@@ -54,7 +53,8 @@ def legacy_scores(df: DataFrame, model_rows: list[list[float]], features: str,
     # Each step is its own column so the margins are computed once per row (expressions inside
     # lambdas are not shared by common-subexpression elimination).
     m = F.col("_m")
-    out = df.withColumn("_m", margins(as_double_array(features), model_rows[1:]))   # classes 1..K-1
+    out = df.withColumn("_x", as_double_array(features))
+    out = out.withColumn("_m", margins(F.col("_x"), model_rows[1:]))   # classes 1..K-1
     out = out.withColumn("_run", F.transform(m, lambda v, i: F.greatest(F.lit(0.0), F.array_max(F.slice(m, 1, i + 1)))))
     out = out.withColumn("_full", F.concat(F.array(F.lit(0.0)), F.zip_with(
         m, F.col("_run"), lambda v, r: F.lit(1.0) / (F.lit(1.0) + F.exp(-(v - r))))))    # class 0 scores 0
@@ -64,20 +64,21 @@ def legacy_scores(df: DataFrame, model_rows: list[list[float]], features: str,
     out = out.withColumn("prediction", F.when(top > 0, F.array_position(m, top)).otherwise(F.lit(0)).cast("double"))
     pscore = F.try_element_at(F.col("scores"), F.col("prediction").cast("int") + 1)
     final = F.when((F.array_max("scores") == pscore) & (pscore > threshold), F.col("prediction")).otherwise(F.lit(0.0))
-    return out.withColumn("final", final).drop("_m", "_run", "_full", "_tot")
+    return out.withColumn("final", final).drop("_x", "_m", "_run", "_full", "_tot")
 
 
 def softmax_scores(df: DataFrame, model_rows: list[list[float]], features: str) -> DataFrame:
     """Clean form: every class has its weight row, ``p = softmax(margins)``; ``prediction`` is
     the most probable class, the lowest one on ties."""
-    out = df.withColumn("_m", margins(as_double_array(features), model_rows))
+    out = df.withColumn("_x", as_double_array(features))
+    out = out.withColumn("_m", margins(F.col("_x"), model_rows))
     m = F.col("_m")
     out = out.withColumn("_mx", F.array_max(m))
     out = out.withColumn("_e", F.transform(m, lambda v: F.exp(v - F.col("_mx"))))
     out = out.withColumn("_t", F.aggregate("_e", F.lit(0.0), lambda s_, v: s_ + v))
     return (out.withColumn("probs", F.transform("_e", lambda v: v / F.col("_t")))
             .withColumn("prediction", (F.array_position(m, F.col("_mx")) - 1).cast("double"))
-            .drop("_m", "_mx", "_e", "_t"))
+            .drop("_x", "_m", "_mx", "_e", "_t"))
 
 
 def confident_errors(scored: DataFrame, label: str = "label", threshold: float = K.REJECT_THRESHOLD) -> DataFrame:

@@ -32,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the whole cluster; its heap must be set before start.
+        b = b.config("spark.driver.memory", os.environ.get("WORDLOOM_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -62,5 +65,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver tables (one parquet each)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one of the driver tables (one parquet each), spread over the cores when the scan
+    itself cannot be split (see :func:`spread`)."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan whose partitions are fewer than the cores.
+
+    A file with a single row group is read by one task, which would serialize the CPU-heavy
+    text work (regexes, tokenizing). On a cluster reading many files (more files than cores)
+    this is a no-op; filters and column pruning still reach the scan (they are pushed through
+    a round-robin repartition). The file count comes from the file index, no job is run.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < want:
+        return df.repartition(want)
+    return df
