@@ -16,6 +16,19 @@ def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def dot_cast(a, b) -> Column:
+    """Dot product with the left side cast to double element by element (no temporary array)."""
+    return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x.cast("double") * y), F.lit(0.0),
+                       lambda s, x: s + x)
+
+
+def let_(value: Column, body) -> Column:
+    """Bind ``value`` to a lambda variable and evaluate ``body(var)`` (a ``let``): the value is
+    computed once per row even if ``body`` uses it many times or the optimizer copies the
+    whole expression into a pushed-down filter."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
+
+
 def norm(a) -> Column:
     return F.sqrt(F.aggregate(F.transform(col_(a), lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
 

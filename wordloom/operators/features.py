@@ -151,16 +151,15 @@ def argmax_label(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
                  F.max("score").alias("best_score")))
 
 
-def label_centroids(df: DataFrame, vec: str = "embedding", label: str = "label") -> DataFrame:
-    """Per-label mean vector ``(label, centroid array<double>)``.
-
-    Element-wise means are a grouped average over ``(label, position)`` (partial aggregation
-    before the shuffle, so the exploded rows never cross the network), then one ordered list per
-    label, whose length is the vector dimension."""
-    el = df.select(label, F.posexplode(as_double_array(vec)).alias("_i", "_v"))
-    means = el.groupBy(label, "_i").agg(F.avg("_v").alias("_m"))
-    return (means.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_s"))
-            .select(label, F.transform("_s", lambda x: x["_m"]).alias("centroid")))
+def label_centroids(df: DataFrame, vec: str = "embedding", label: str = "label", dim: int | None = None) -> DataFrame:
+    """Per-label mean vector ``(label, centroid array<double>)``: one grouped aggregate with an
+    ``avg`` per vector position (code-generated, partial before the shuffle); ``dim`` is read
+    from one row when not given."""
+    if dim is None:
+        dim = df.select(F.size(vec)).first()[0]
+    aggs = [F.avg(F.try_element_at(vec, F.lit(i + 1)).cast("double")).alias(f"_c{i}") for i in range(dim)]
+    return (df.groupBy(label).agg(*aggs)
+            .select(label, F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centroid")))
 
 
 def similar_topk(df: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec: str = "embedding",

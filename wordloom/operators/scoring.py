@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
-from wordloom.functions.vectors import as_double_array, dot
+from wordloom.functions.vectors import dot_cast, let_
 
 MAX_MODEL_VALUES = 2_000_000
 
@@ -38,7 +38,7 @@ def _matrix_lit(rows: list[list[float]]) -> Column:
 
 def margins(x: Column, rows: list[list[float]]) -> Column:
     """``[x . w_c for each weight row]`` as an array (one dot product per class)."""
-    return F.transform(_matrix_lit(rows), lambda w: dot(x, w))
+    return F.transform(_matrix_lit(rows), lambda w: dot_cast(x, w))
 
 
 def legacy_scores(df: DataFrame, model_rows: list[list[float]], features: str,
@@ -48,37 +48,48 @@ def legacy_scores(df: DataFrame, model_rows: list[list[float]], features: str,
 
     Adds ``prediction`` (raw best class), ``scores`` (K values) and ``final`` (reject option:
     the prediction is kept only when its score is the maximum and above ``threshold``, else 0).
+    Every intermediate array is bound once (``let_``), so the row cost stays O(K^2 + K dim)
+    however the optimizer moves the expression.
     """
     k = len(model_rows)
-    # Each step is its own column so the margins are computed once per row (expressions inside
-    # lambdas are not shared by common-subexpression elimination).
-    m = F.col("_m")
-    out = df.withColumn("_x", as_double_array(features))
-    out = out.withColumn("_m", margins(F.col("_x"), model_rows[1:]))   # classes 1..K-1
-    out = out.withColumn("_run", F.transform(m, lambda v, i: F.greatest(F.lit(0.0), F.array_max(F.slice(m, 1, i + 1)))))
-    out = out.withColumn("_full", F.concat(F.array(F.lit(0.0)), F.zip_with(
-        m, F.col("_run"), lambda v, r: F.lit(1.0) / (F.lit(1.0) + F.exp(-(v - r))))))    # class 0 scores 0
-    out = out.withColumn("_tot", F.aggregate("_full", F.lit(0.0), lambda s_, v: s_ + v))
-    out = out.withColumn("scores", F.transform("_full", lambda v, i: F.when(i < k - 1, v / F.col("_tot")).otherwise(v)))
-    top = F.greatest(F.lit(0.0), F.array_max(m))
-    out = out.withColumn("prediction", F.when(top > 0, F.array_position(m, top)).otherwise(F.lit(0)).cast("double"))
-    pscore = F.try_element_at(F.col("scores"), F.col("prediction").cast("int") + 1)
-    final = F.when((F.array_max("scores") == pscore) & (pscore > threshold), F.col("prediction")).otherwise(F.lit(0.0))
-    return out.withColumn("final", final).drop("_x", "_m", "_run", "_full", "_tot")
+
+    def from_margins(m):
+        run = F.transform(m, lambda v, i: F.greatest(F.lit(0.0), F.array_max(F.slice(m, 1, i + 1))))
+        raw = F.concat(F.array(F.lit(0.0)),                                   # class 0 scores 0
+                       F.zip_with(m, run, lambda v, r: F.lit(1.0) / (F.lit(1.0) + F.exp(-(v - r)))))
+        top = F.greatest(F.lit(0.0), F.array_max(m))
+        pred = F.when(top > 0, F.array_position(m, top)).otherwise(F.lit(0)).cast("double")
+
+        def from_raw(rw):
+            return let_(F.aggregate(rw, F.lit(0.0), lambda s_, v: s_ + v), lambda tot: F.struct(
+                pred.alias("prediction"),
+                F.transform(rw, lambda v, i: F.when(i < k - 1, v / tot).otherwise(v)).alias("scores")))
+        return let_(raw, from_raw)
+
+    def with_final(r):
+        ps = F.try_element_at(r["scores"], r["prediction"].cast("int") + 1)
+        keep = (F.array_max(r["scores"]) == ps) & (ps > threshold)
+        return F.struct(r["prediction"].alias("prediction"), r["scores"].alias("scores"),
+                        F.when(keep, r["prediction"]).otherwise(F.lit(0.0)).alias("final"))
+
+    r = let_(let_(margins(F.col(features), model_rows[1:]), from_margins), with_final)
+    return (df.withColumn("_r", r)
+            .withColumn("prediction", F.col("_r.prediction")).withColumn("scores", F.col("_r.scores"))
+            .withColumn("final", F.col("_r.final")).drop("_r"))
 
 
 def softmax_scores(df: DataFrame, model_rows: list[list[float]], features: str) -> DataFrame:
     """Clean form: every class has its weight row, ``p = softmax(margins)``; ``prediction`` is
     the most probable class, the lowest one on ties."""
-    out = df.withColumn("_x", as_double_array(features))
-    out = out.withColumn("_m", margins(F.col("_x"), model_rows))
-    m = F.col("_m")
-    out = out.withColumn("_mx", F.array_max(m))
-    out = out.withColumn("_e", F.transform(m, lambda v: F.exp(v - F.col("_mx"))))
-    out = out.withColumn("_t", F.aggregate("_e", F.lit(0.0), lambda s_, v: s_ + v))
-    return (out.withColumn("probs", F.transform("_e", lambda v: v / F.col("_t")))
-            .withColumn("prediction", (F.array_position(m, F.col("_mx")) - 1).cast("double"))
-            .drop("_x", "_m", "_mx", "_e", "_t"))
+    def from_margins(m):
+        mx = F.array_max(m)
+        return let_(F.transform(m, lambda v: F.exp(v - mx)), lambda e: let_(
+            F.aggregate(e, F.lit(0.0), lambda s_, v: s_ + v), lambda t: F.struct(
+                F.transform(e, lambda v: v / t).alias("probs"),
+                (F.array_position(m, mx) - 1).cast("double").alias("prediction"))))
+    r = let_(margins(F.col(features), model_rows), from_margins)
+    return (df.withColumn("_r", r).withColumn("probs", F.col("_r.probs"))
+            .withColumn("prediction", F.col("_r.prediction")).drop("_r"))
 
 
 def confident_errors(scored: DataFrame, label: str = "label", threshold: float = K.REJECT_THRESHOLD) -> DataFrame:
