@@ -31,3 +31,19 @@ def maybe_broadcast(small: DataFrame, proven_small: bool) -> DataFrame:
 def r6(c):
     """Round a double to 6 places (result tables are compared after this rounding)."""
     return F.round(c, 6)
+
+
+def bounded_distinct(df: DataFrame, col: str, max_rows: int = MAX_BROADCAST_ROWS) -> list | None:
+    """Sorted distinct non-null values of one column when there are at most ``max_rows`` of
+    them (a one-column job), else None."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return sorted(r[0] for r in rows)
+
+
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Cut lineage with a reliable checkpoint (written to the shared checkpoint folder) and
+    return the written table with its row count (a proven size for broadcast decisions)."""
+    out = df.checkpoint(eager=True)
+    return out, out.count()

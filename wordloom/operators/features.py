@@ -10,18 +10,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
 from wordloom.functions.hashing import md5_bucket, md5_unit
 from wordloom.functions.text import tokens
 from wordloom.functions.vectors import as_double_array, cosine, pad
-from wordloom.operators.common import MAX_BROADCAST_ROWS, distinct_at_most, has_at_most, maybe_broadcast
+from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, materialize, maybe_broadcast
 
 MAX_CLASSES = 100_000
+MAX_MODEL_BROADCAST_ROWS = 2_000_000
 
 
 def doc_terms(df: DataFrame, id_col: str = "doc_id", text: str = "words") -> DataFrame:
@@ -74,21 +73,26 @@ def md5_word_vectors(df: DataFrame, text: str = "words", min_count: int = K.W2V_
 
 
 def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", text: str = "words",
-                    out: str = "features") -> DataFrame:
+                    out: str = "features", n_vectors: int | None = None, dim: int | None = None) -> DataFrame:
     """F3/A7 (+P5, P6): mean of the vectors of the *known* words of each text (repeats count);
     unknown words are skipped and a text without known words is dropped (inner join).
 
-    Token counts per (text, word) are formed first, so a frequent word adds one weighted row
-    per text, and the mean is a weighted ``Summarizer`` aggregate (partial before shuffle).
-    The vocabulary side is left to AQE: it grows with the corpus, so it is not forced into a
-    broadcast.
+    With a vector table proven small (``n_vectors``, e.g. from :func:`materialize`) tokens meet
+    it by broadcast and the per-dimension sums are partially aggregated per text before the one
+    shuffle. Otherwise token counts per (text, word) are formed first, so a frequent word adds
+    one weighted row per text, and the vocabulary join is left to AQE (it grows with the corpus).
     """
-    terms = doc_terms(df, id_col, text)
-    v = vectors.select("word", array_to_vector(as_double_array("vector")).alias("_v"))
-    joined = terms.join(v, "word")
-    return (joined.groupBy("doc_id")
-            .agg(Summarizer.mean(F.col("_v"), F.col("k").cast("double")).alias("_m"))
-            .select("doc_id", vector_to_array("_m").alias(out)))
+    if dim is None:
+        dim = vectors.select(F.size("vector")).first()[0]
+    v = vectors.select("word", as_double_array("vector").alias("_v"))
+    if n_vectors is not None and n_vectors <= MAX_MODEL_BROADCAST_ROWS:
+        toks = df.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("word"))
+        joined = toks.join(F.broadcast(v), "word").withColumn("k", F.lit(1))
+    else:
+        joined = doc_terms(df, id_col, text).join(v, "word")
+    sums = [F.sum(F.col("k") * F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
+    agg = joined.groupBy("doc_id").agg(F.sum("k").alias("_n"), *sums)
+    return agg.select("doc_id", F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
 
 
 def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str = "null") -> DataFrame:
@@ -98,43 +102,84 @@ def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str
 
 @dataclass
 class WcpModel:
-    """Per-class word counts ``(label, word, n)`` and the class list with ``ln(V + T_c)``."""
-    counts: DataFrame
+    """Class-word model: ``words`` is ``(word, lnv array<double>)`` with
+    ``lnv[c] = ln(1 + n_cw)`` for the classes in ``classes`` order; ``classes`` holds
+    ``(label, ln(V + T_c))``; ``n_words`` is the row count of ``words`` (for the broadcast bound)."""
+    words: DataFrame
     classes: list[tuple]
+    n_words: int | None = None
 
 
 def fit_wcp(train: DataFrame, label: str = "label", text: str = "words",
             vocabulary_size: int = K.WCP_VOCABULARY_SIZE) -> WcpModel:
-    """Class word counts of the training texts; the class list (one row per class) is checked
-    to be bounded and kept as the model's metadata."""
+    """Fit the class-word model in one pass over the training texts.
+
+    The class list comes from a one-column distinct (checked bounded); word counts per class
+    become one row per word with a K-wide count vector, written once to the shared checkpoint
+    folder; class totals are then summed from that (small) table."""
+    labels = bounded_distinct(train, label, MAX_CLASSES)
+    if labels is None:
+        raise ValueError("too many classes for per-class scores")
     cw = (train.select(F.col(label).alias("label"), F.explode(tokens(text)).alias("w"))
           .where(F.col("label").isNotNull())
           .groupBy("label", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n")))
-    if not distinct_at_most(train.where(F.col(label).isNotNull()), [label], MAX_CLASSES):
-        raise ValueError("too many classes for per-class scores")
-    totals = cw.groupBy("label").agg(F.sum("n").alias("T")).orderBy("label").collect()
-    return WcpModel(cw, [(r["label"], math.log(vocabulary_size + r["T"])) for r in totals])
+    by_word = cw.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("_m"))
+    nv = F.array(*[F.coalesce(F.col("_m")[F.lit(c)], F.lit(0)).cast("bigint") for c in labels])
+    words, n_words = materialize(by_word.select("word", nv.alias("nv"))
+                                 .withColumn("lnv", F.transform("nv", lambda n: F.log1p(n.cast("double")))))
+    tot = words.agg(*[F.sum(F.col("nv")[i]).alias(f"t{i}") for i in range(len(labels))]).first()
+    classes = [(c, math.log(vocabulary_size + (tot[i] or 0))) for i, c in enumerate(labels)]
+    return WcpModel(words.select("word", "lnv"), classes, n_words)
+
+
+def _wcp_sums(model: WcpModel, score: DataFrame, text: str, id_col: str) -> DataFrame:
+    """Per text: token count ``L`` and, per class, ``sum over tokens of ln(1 + n_cw)``.
+
+    With a model proven small, tokens meet it by broadcast (no shuffle of tokens) and the sums
+    are partially aggregated per text before the only shuffle. A larger model is joined by a
+    shuffle on the word after per-(text, word) pre-aggregation, so a frequent word adds one
+    row per text."""
+    k = len(model.classes)
+    toks = score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w")) \
+        .select("doc_id", F.lower("w").alias("word"))
+    small = model.n_words is not None and model.n_words <= MAX_MODEL_BROADCAST_ROWS
+    if small:
+        j = toks.join(F.broadcast(model.words), "word", "left").withColumn("_k", F.lit(1))
+    else:
+        terms = toks.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("_k"))
+        j = terms.join(model.words, "word", "left")
+    sums = [F.sum(F.col("_k") * F.coalesce(F.col("lnv")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(k)]
+    return j.groupBy("doc_id").agg(F.sum("_k").alias("L"), *sums)
+
+
+def _class_scores(k_classes: list[tuple]) -> Column:
+    """``score_c = s_c - L ln(V + T_c)`` as a K-wide array."""
+    return F.array(*[F.col(f"_s{i}") - F.col("L") * F.lit(z) for i, (_, z) in enumerate(k_classes)])
 
 
 def score_wcp(model: WcpModel, score: DataFrame, text: str = "words", id_col: str = "doc_id") -> DataFrame:
     """F13 built as intended: for each text and class, the sum over its tokens of
     ``ln(p_c(token))`` with ``p_c(w) = (1 + n_cw) / (V + T_c)`` (A3's smoothing; an unseen word
-    has ``n_cw = 0``). Output ``(doc_id, label, score)``.
-
-    Evaluated as ``sum_{seen w} k_w ln(1 + n_cw) - L_d ln(V + T_c)``: only tokens seen in a class
-    meet its counts (an equi-join on the word), and the per-class base term needs just the
-    text length and the class total. The class list is expanded per text with an explode of
-    a K-wide literal, like a K-wide score vector; there is no join with the class table.
-    """
-    classes = F.array(*[F.struct(F.lit(c).alias("label"), F.lit(z).alias("lnz")) for c, z in model.classes])
-    terms = (score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w"))
-             .groupBy("doc_id", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("k")))
-    seen = (terms.join(model.counts, "word")
-            .groupBy("doc_id", "label").agg(F.sum(F.col("k") * F.log1p(F.col("n").cast("double"))).alias("s")))
-    grid = score.select(F.col(id_col).alias("doc_id"), F.size(tokens(text)).alias("L"), F.explode(classes).alias("c")) \
-        .select("doc_id", F.col("c.label").alias("label"), (-F.col("L") * F.col("c.lnz")).alias("base"))
-    return (grid.join(seen, ["doc_id", "label"], "left")
-            .select("doc_id", "label", (F.col("base") + F.coalesce("s", F.lit(0.0))).alias("score")))
+    has ``n_cw = 0``). Output ``(doc_id, label, score)``, K rows per text.
+
+    Evaluated as ``sum_w ln(1 + n_cw) - L ln(V + T_c)`` per text (see :func:`_wcp_sums`); the K
+    scores of a text are one array, exploded with the class list."""
+    labels = F.array(*[F.lit(c) for c, _ in model.classes])
+    per_doc = _wcp_sums(model, score, text, id_col)
+    return (per_doc.select("doc_id", F.arrays_zip(labels.alias("label"), _class_scores(model.classes).alias("score"))
+                           .alias("_z"))
+            .select("doc_id", F.explode("_z").alias("_e"))
+            .select("doc_id", F.col("_e.label").alias("label"), F.col("_e.score").alias("score")))
+
+
+def predict_wcp(model: WcpModel, score: DataFrame, text: str = "words", id_col: str = "doc_id") -> DataFrame:
+    """Best class per text ``(doc_id, prediction, best_score)`` computed in-row from the K
+    scores; ties go to the lowest class (first maximum in class order)."""
+    labels = F.array(*[F.lit(c) for c, _ in model.classes])
+    per_doc = _wcp_sums(model, score, text, id_col).withColumn("_sc", _class_scores(model.classes))
+    best = F.array_max("_sc")
+    return per_doc.select("doc_id", F.element_at(labels, F.array_position("_sc", best).cast("int")).alias("prediction"),
+                          best.alias("best_score"))
 
 
 def class_log_scores(train: DataFrame, score: DataFrame, label: str = "label", text: str = "words",

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
-from wordloom.functions.vectors import as_double_array
 from wordloom.operators import features as FT
 from wordloom.operators import patterns as P
+from wordloom.operators.common import materialize
 from wordloom.operators.corpus import split_column, word_records
 from wordloom.plans import sqlparts as S
 from wordloom.plans.catalog import register
@@ -85,7 +85,8 @@ dv AS (SELECT dt.doc_id,
 
 def _doc_vectors(spark, sf):
     d = _docs(spark, sf)
-    vec = FT.doc_vector_mean(d, FT.md5_word_vectors(d))
+    vecs, n = materialize(FT.md5_word_vectors(d))
+    vec = FT.doc_vector_mean(d, vecs, n_vectors=n, dim=4)
     return vec.select("doc_id", *[F.round(F.col("features")[i], 6).alias(f"v{i}") for i in range(4)])
 
 
@@ -139,7 +140,7 @@ sc AS (SELECT dl.doc_id, tot.label, -dl.L * ln({K.WCP_VOCABULARY_SIZE} + tot.T)
 def _wcp_scores(spark, sf):
     d = _docs(spark, sf)
     train = d.where(split_column("doc_id") == "train")
-    return FT.class_log_scores(train, d)
+    return FT.score_wcp(FT.fit_wcp(train), d)
 
 
 @register("wcp_features", f"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.corpus import word_records
-from wordloom.operators.features import WcpModel, argmax_label, score_wcp
+from wordloom.operators.features import WcpModel, predict_wcp
 from wordloom.session import scratch_path
 from wordloom.sources import cells as C
 
@@ -27,7 +27,7 @@ def key_column() -> F.Column:
 def score_records(model: WcpModel, df: DataFrame) -> DataFrame:
     """Batch form of the scorer: ``(row_key, prediction)`` for every record of ``df``."""
     recs = word_records(df.withColumn("row_key", key_column()), label=None, id_col="row_key")
-    best = argmax_label(score_wcp(model, recs))
+    best = predict_wcp(model, recs)
     return best.select(F.col("doc_id").alias("row_key"), F.col("prediction").cast("string").alias("prediction"))
 
 
