@@ -14,6 +14,6 @@ def test_stream_equals_batch_and_counts(spark):
     batch = scorer.score_records(model, docs).select("row_key", F.col("prediction").alias("value"))
     assert streamed.count() == docs.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
-    totals = scorer.batch_totals(spark, paths["counts"]).orderBy("batch_id").collect()
+    totals = scorer.batch_totals(spark, paths["cells"]).orderBy("batch_id").collect()
     assert len(totals) > 1
     assert totals[-1]["running_total"] == docs.count()

@@ -17,7 +17,7 @@ from wordloom import constants as K
 from wordloom.functions.hashing import md5_bucket, md5_unit
 from wordloom.functions.text import tokens
 from wordloom.functions.vectors import as_double_array, cosine, pad
-from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, materialize, maybe_broadcast
+from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, maybe_broadcast
 
 MAX_CLASSES = 100_000
 MAX_MODEL_BROADCAST_ROWS = 2_000_000
@@ -77,7 +77,7 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     """F3/A7 (+P5, P6): mean of the vectors of the *known* words of each text (repeats count);
     unknown words are skipped and a text without known words is dropped (inner join).
 
-    With a vector table proven small (``n_vectors``, e.g. from :func:`materialize`) tokens meet
+    With a vector table proven small (``n_vectors``, e.g. from ``common.materialize``) tokens meet
     it by broadcast and the per-dimension sums are partially aggregated per text before the one
     shuffle. Otherwise token counts per (text, word) are formed first, so a frequent word adds
     one weighted row per text, and the vocabulary join is left to AQE (it grows with the corpus).
@@ -125,11 +125,13 @@ def fit_wcp(train: DataFrame, label: str = "label", text: str = "words",
           .groupBy("label", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n")))
     by_word = cw.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("_m"))
     nv = F.array(*[F.coalesce(F.col("_m")[F.lit(c)], F.lit(0)).cast("bigint") for c in labels])
-    words, n_words = materialize(by_word.select("word", nv.alias("nv"))
-                                 .withColumn("lnv", F.transform("nv", lambda n: F.log1p(n.cast("double")))))
-    tot = words.agg(*[F.sum(F.col("nv")[i]).alias(f"t{i}") for i in range(len(labels))]).first()
-    classes = [(c, math.log(vocabulary_size + (tot[i] or 0))) for i, c in enumerate(labels)]
-    return WcpModel(words.select("word", "lnv"), classes, n_words)
+    words = (by_word.select("word", nv.alias("nv"))
+             .withColumn("lnv", F.transform("nv", lambda n: F.log1p(n.cast("double"))))
+             .checkpoint(eager=True))
+    tot = words.agg(F.count(F.lit(1)).alias("n_words"),
+                    *[F.sum(F.col("nv")[i]).alias(f"t{i}") for i in range(len(labels))]).first()
+    classes = [(c, math.log(vocabulary_size + (tot[f"t{i}"] or 0))) for i, c in enumerate(labels)]
+    return WcpModel(words.select("word", "lnv"), classes, tot["n_words"])
 
 
 def _wcp_sums(model: WcpModel, score: DataFrame, text: str, id_col: str) -> DataFrame:

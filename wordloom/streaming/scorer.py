@@ -37,17 +37,17 @@ def stage_landing(df: DataFrame, path: str, n_files: int) -> None:
 
 
 def run_stream(spark: SparkSession, model: WcpModel, landing: str, schema, cells_path: str,
-               counts_path: str, checkpoint: str, max_files_per_trigger: int = 1) -> int:
-    """Score everything in ``landing`` batch by batch; returns the number of batches."""
+               checkpoint: str, max_files_per_trigger: int = 1) -> int:
+    """Score everything in ``landing`` batch by batch; returns the number of batches.
+
+    One job per batch: score and append the batch's label cells to ``cells_path/batch=<id>``
+    (overwritten on replay). Every record yields exactly one cell, so per-batch row counts
+    are read back from the cell log (:func:`batch_totals`) instead of a second pass."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
         pred = score_records(model, batch)
         C.append_cells(C.label_cells(pred, "row_key", "prediction", batch=batch_id), cells_path, batch_id=batch_id)
-        (batch.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "n_rows")
-         .write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}"))
-        batch.unpersist()
 
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -55,11 +55,12 @@ def run_stream(spark: SparkSession, model: WcpModel, landing: str, schema, cells
     return len(q.recentProgress)
 
 
-def batch_totals(spark: SparkSession, counts_path: str) -> DataFrame:
-    """Rows per batch and the running total (a window over the batch table, whose size is
-    the number of batches, not the number of rows)."""
+def batch_totals(spark: SparkSession, cells_path: str) -> DataFrame:
+    """Rows per batch and the running total. Counted from the cell log's ``batch``
+    partition column; the window runs over the batch table (one row per batch), not rows."""
     from pyspark.sql import Window
-    c = spark.read.parquet(counts_path).select("batch_id", "n_rows")
+    c = spark.read.parquet(cells_path).groupBy(F.col("batch").cast("bigint").alias("batch_id")) \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return c.withColumn("running_total", F.sum("n_rows").over(w))
 
@@ -72,4 +73,4 @@ def latest_labels(spark: SparkSession, cells_path: str) -> DataFrame:
 
 
 def new_paths(spark: SparkSession) -> dict[str, str]:
-    return {k: scratch_path(spark, f"stream-{k}") for k in ("landing", "cells", "counts", "checkpoint")}
+    return {k: scratch_path(spark, f"stream-{k}") for k in ("landing", "cells", "checkpoint")}
