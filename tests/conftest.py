@@ -13,16 +13,16 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    ckpt = tempfile.mkdtemp(prefix="wordloom-test-ckpt-")
+    from wordloom.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("wordloom-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "8g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.setCheckpointDir(ckpt)
+    ensure_checkpoint_dir(s)  # the configured shared folder; a fresh one only when unset
     yield s
 
 
