@@ -58,3 +58,11 @@ def test_similar_topk(spark):
     q = spark.createDataFrame([(0, [1.0, 0.0])], "label int, query array<double>")
     got = [r["vec_id"] for r in FT.similar_topk(df, q, 2).orderBy("rank").collect()]
     assert got == [1, 2]
+
+
+def test_join_features_many_to_many(spark):
+    f = spark.createDataFrame([(1, 0.5), (1, 0.7), (2, 0.1)], "doc_id int, v double")
+    r = spark.createDataFrame([(1, 1.0), (1, 0.0), (2, None)], "doc_id int, label double")
+    out = FT.join_features(f, r)
+    assert out.count() == 4                      # repeated id: 2 x 2 rows; unlabelled id 2 dropped
+    assert out.where("doc_id = 2").count() == 0

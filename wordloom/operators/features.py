@@ -95,6 +95,13 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     return agg.select("doc_id", F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
 
 
+def join_features(features: DataFrame, records: DataFrame, id_col: str = "doc_id", label: str = "label") -> DataFrame:
+    """J1 + F10: features joined to records on the id (inner, many-to-many: an id repeated on
+    both sides multiplies rows, as a pair-RDD join does); rows without a label are filtered
+    instead of failing. A shuffle join on the id; AQE may broadcast a small side at runtime."""
+    return features.join(records.where(F.col(label).isNotNull()), id_col)
+
+
 def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str = "null") -> DataFrame:
     """zero-padded double array of fixed length (see :func:`wordloom.functions.vectors.pad`)."""
     return df.withColumn(col, pad(as_double_array(col), length, over))

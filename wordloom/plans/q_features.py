@@ -108,7 +108,7 @@ def q_feature_join(spark, sf):
     """J1 + F10: features joined to labelled records on id (many-to-many as an inner join);
     rows without a label are filtered instead of failing."""
     lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    out = _doc_vectors(spark, sf).join(lab.where(F.col("label").isNotNull()), "doc_id")
+    out = FT.join_features(_doc_vectors(spark, sf), lab)
     return out.select("doc_id", "label", "v0", "v1", "v2", "v3")
 
 
