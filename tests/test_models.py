@@ -29,16 +29,16 @@ def test_tfidf_lr_invariants(spark, split):
 
 def test_w2v_same_seed_same_vectors(spark, split):
     train, _ = split
-    small = train.limit(200)
-    a = MD.word_vectors(MD.fit_word2vec(small, vector_size=10))
-    b = MD.word_vectors(MD.fit_word2vec(small, vector_size=10))
+    small = train.orderBy("doc_id").limit(200).cache()
+    a = MD.word_vectors(MD.fit_word2vec(small, vector_size=10, num_partitions=1))
+    b = MD.word_vectors(MD.fit_word2vec(small, vector_size=10, num_partitions=1))
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
 
 
 def test_w2v_vocabulary_is_min_count(spark, split):
     train, _ = split
-    small = train.limit(150).cache()
+    small = train.orderBy("doc_id").limit(150).cache()
     from wordloom.functions.text import tokens
     want = (small.select(F.explode(tokens("words")).alias("w")).groupBy("w").count()
             .where(F.col("count") >= 5).count())
