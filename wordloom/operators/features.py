@@ -51,7 +51,9 @@ def char_tf(df: DataFrame, id_col: str = "doc_id", text: str = "words",
 def idf_weights(tf: DataFrame, n_docs: int) -> DataFrame:
     """Document frequency per bucket and ``idf = ln((m + 1) / (df + 1))``
     (no minimum document frequency). ``tf`` rows are unique per (doc, bucket)."""
-    return (tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    # count_if(tf > 0) (= count, tf >= 1) keeps the tf column, so this branch reads the same
+    # (doc, bucket) aggregate as the tf branch and its shuffle is reused, not recomputed.
+    return (tf.groupBy("bucket").agg(F.count_if(F.col("tf") > 0).alias("df"))
             .withColumn("idf", F.log((F.lit(float(n_docs)) + 1.0) / (F.col("df") + 1.0))))
 
 
