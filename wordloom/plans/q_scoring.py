@@ -118,7 +118,7 @@ def q_unsure_hits(spark, sf):
 
 @register("zero_class_count", f"""
 WITH {_BASE}
-SELECT count_if(final = 0.0) AS n_zero, count(*) AS n_rows FROM fin
+SELECT CAST(count_if(final = 0.0) AS BIGINT) AS n_zero, count(*) AS n_rows FROM fin
 """)
 def q_zero_class_count(spark, sf):
     return SC.zero_class_count(_legacy(spark, sf), "final")

@@ -49,7 +49,7 @@ def q_class_word_prob(spark, sf):
 
 
 @register("num_classes", """
-SELECT count(DISTINCT l.quality) AS num_classes, count_if(l.quality IS NULL) AS n_unlabelled
+SELECT count(DISTINCT l.quality) AS num_classes, CAST(count_if(l.quality IS NULL) AS BIGINT) AS n_unlabelled
 FROM documents d LEFT JOIN labels l USING (doc_id)
 """)
 def q_num_classes(spark, sf):
