@@ -73,3 +73,11 @@ def test_keyword_flags(spark):
     df = spark.createDataFrame([("hurricane weather",), ("nothing",)], "s string")
     rows = df.select(*T.keyword_flags("s")).collect()
     assert [tuple(r) for r in rows] == [(0.0, 1.0, 1.0), (0.0, 0.0, 0.0)]
+
+
+def test_words_only_forms_agree(spark):
+    rnd = random.Random(5)
+    alpha = ["a", "B", " ", " ", "\t", "\n", "-", "\u00e9", "x", "\x01", ".", "_", "1", "\u212a", "\u00a0"]
+    rows = [("".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 30))),) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "s string")
+    assert df.where(T.words_only("s") != T.words_only_split("s")).count() == 0

@@ -72,10 +72,19 @@ def strip_markup(c, java_pattern: bool = False) -> Column:
 def words_only(c) -> Column:
     """Split on one space, trim, lower-case, drop empty, delete ``\\W``, join with a space.
 
-    A token is kept when it holds any char above U+0020 (non-empty after Java trim). Kept
-    tokens contain no space, so deleting ``[^\\w ]`` from the joined string equals deleting
-    ``\\W`` per token; a token such as ``--`` leaves an empty word (a double space).
+    Computed on the whole string with code-generated regex/trim passes instead of a per-token
+    lambda: a token is dropped when it is blank (only chars <= U+0020, i.e. empty after Java
+    trim), so blank tokens are deleted, the separators they leave are collapsed and trimmed,
+    and only then ``[^\\w ]`` is deleted -- a token such as ``--`` therefore still leaves an
+    empty word (a double space). :func:`words_only_split` is the literal split/filter form.
     """
+    no_blank = F.regexp_replace(F.lower(col_(c)), r"(?<=^| )[\x00-\x1F]+(?= |$)", "")
+    joined = F.trim(F.regexp_replace(no_blank, " {2,}", " "), F.lit(" "))
+    return F.regexp_replace(joined, r"[^\w ]", "")
+
+
+def words_only_split(c) -> Column:
+    """T2 written as the per-token rule (split, keep non-blank, join, delete ``\\W``)."""
     toks = F.split(F.lower(col_(c)), " ")
     kept = F.filter(toks, lambda t: t.rlike(r"[^\x00-\x20]"))
     return F.regexp_replace(F.array_join(kept, " "), r"[^\w ]", "")
