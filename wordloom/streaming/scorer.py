@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.corpus import word_records
 from wordloom.operators.features import WcpModel, predict_wcp
-from wordloom.session import scratch_path
+from wordloom.session import scratch_path, spread
 from wordloom.sources import cells as C
 
 
@@ -46,7 +46,7 @@ def run_stream(spark: SparkSession, model: WcpModel, landing: str, schema, cells
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        pred = score_records(model, batch)
+        pred = score_records(model, spread(batch))
         C.append_cells(C.label_cells(pred, "row_key", "prediction", batch=batch_id), cells_path, batch_id=batch_id)
 
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
