@@ -27,6 +27,14 @@ def collection_cells(spark, sf):
     return text.unionByName(lang)
 
 
+def collection_store(spark, sf):
+    """The collection as a keyed store at rest (written once to the shared folder, sorted by
+    key); scans and look-ups then read it with their predicates pushed into Parquet."""
+    path = scratch_path(spark, "collection-store")
+    C.write_store(collection_cells(spark, sf), path)
+    return C.read_cells(spark, path)
+
+
 def event_cells(spark, sf):
     e = table(spark, sf, "events")
     return e.select(F.col("user_id").cast("string").alias("row_key"), F.lit("event").alias("family"),
@@ -40,7 +48,7 @@ WHERE source || '-' || CAST(doc_id AS VARCHAR) >= {S.lit(COLLECTION)}
   AND source || '-' || CAST(doc_id AS VARCHAR) < {S.lit(COLLECTION + '0')}
 """)
 def q_collection_scan(spark, sf):
-    return C.scan_collection(collection_cells(spark, sf), COLLECTION)
+    return C.scan_collection(collection_store(spark, sf), COLLECTION)
 
 
 _latest_sql = ",\n       ".join(
@@ -65,14 +73,14 @@ def q_point_lookup(spark, sf):
     lab = table(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id")
     keys = d.join(lab, "doc_id", "left_semi").select(
         F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("row_key"))
-    return C.point_lookup(collection_cells(spark, sf), keys, K.COLLECTION_FAMILY, K.COLLECTION_QUALIFIER)
+    return C.point_lookup(collection_store(spark, sf), keys, K.COLLECTION_FAMILY, K.COLLECTION_QUALIFIER)
 
 
 @register("value_scan", """
 SELECT source || '-' || CAST(doc_id AS VARCHAR) AS row_key, lang AS value FROM documents WHERE lang = 'fr'
 """)
 def q_value_scan(spark, sf):
-    return C.value_scan(collection_cells(spark, sf), K.COLLECTION_FAMILY, "lang", "fr")
+    return C.value_scan(collection_store(spark, sf), K.COLLECTION_FAMILY, "lang", "fr")
 
 
 _TRAIN_CELLS_SQL = f"""

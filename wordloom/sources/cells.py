@@ -111,6 +111,14 @@ def read_cells(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*CELL_COLS)
 
 
+def write_store(cell_df: DataFrame, path: str) -> None:
+    """Lay cells out as a keyed store: range-partitioned and sorted by ``row_key``, so every file
+    and row group covers a narrow key range and Parquet min/max statistics let a key-range
+    scan (S7) or point lookup (S11) skip everything outside it."""
+    (cell_df.select(*CELL_COLS).repartitionByRange("row_key").sortWithinPartitions("row_key", "family", "qualifier")
+     .write.mode("overwrite").parquet(path))
+
+
 def label_cells(pred: DataFrame, id_col: str, name_col: str, batch: int) -> DataFrame:
     """K1: label name per record id into ``clean-tweet:real-world-events``."""
     return pred.select(*cells(F.col(id_col), K.LABEL_FAMILY, K.LABEL_QUALIFIER, F.col(name_col),
