@@ -30,8 +30,12 @@ def baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def frequent_itemsets(transactions: DataFrame, items: str = "items", min_support: float = K.FP_MIN_SUPPORT,
-                      num_partitions: int | None = K.FP_NUM_PARTITIONS) -> DataFrame:
-    """FP-growth item sets ``(items, freq)``; items sorted inside each set."""
+                      num_partitions: int | None = None) -> DataFrame:
+    """FP-growth item sets ``(items, freq)``; items sorted inside each set.
+
+    ``num_partitions`` (conditional-tree partitions) defaults to the input's partitioning, so
+    the tree building scales with the cluster; the original fixed it at
+    ``constants.FP_NUM_PARTITIONS``."""
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)

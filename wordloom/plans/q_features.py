@@ -165,7 +165,7 @@ SELECT items, CAST(2 AS BIGINT) AS n_items, freq FROM two WHERE freq >= (SELECT
 def q_frequent_itemsets(spark, sf):
     """FP-growth over order baskets; the exact check covers 1- and 2-item sets."""
     b = P.baskets(table(spark, sf, "lineitem"), table(spark, sf, "part"))
-    fi = P.frequent_itemsets(b, "items", FP_SUPPORT, K.FP_NUM_PARTITIONS)
+    fi = P.frequent_itemsets(b, "items", FP_SUPPORT)
     return (fi.where(F.size("items") <= 2)
             .select(F.array_join("items", " ").alias("items"), F.size("items").cast("bigint").alias("n_items"), "freq"))
 
