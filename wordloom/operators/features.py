@@ -75,7 +75,8 @@ def md5_word_vectors(df: DataFrame, text: str = "words", min_count: int = K.W2V_
 
 
 def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", text: str = "words",
-                    out: str = "features", n_vectors: int | None = None, dim: int | None = None) -> DataFrame:
+                    out: str = "features", n_vectors: int | None = None, dim: int | None = None,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """F3/A7 (+P5, P6): mean of the vectors of the *known* words of each text (repeats count);
     unknown words are skipped and a text without known words is dropped (inner join).
 
@@ -83,18 +84,21 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     it by broadcast and the per-dimension sums are partially aggregated per text before the one
     shuffle. Otherwise token counts per (text, word) are formed first, so a frequent word adds
     one weighted row per text, and the vocabulary join is left to AQE (it grows with the corpus).
+    ``carry`` columns (fixed per text, e.g. its label) ride through the grouping, so nothing is
+    joined back to the records afterwards.
     """
     if dim is None:
         dim = vectors.select(F.size("vector")).first()[0]
     v = vectors.select("word", as_double_array("vector").alias("_v"))
+    keys = ["doc_id", *carry]
+    toks = df.select(F.col(id_col).alias("doc_id"), *carry, F.explode(tokens(text)).alias("word"))
     if n_vectors is not None and n_vectors <= MAX_MODEL_BROADCAST_ROWS:
-        toks = df.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("word"))
         joined = toks.join(F.broadcast(v), "word").withColumn("k", F.lit(1))
     else:
-        joined = doc_terms(df, id_col, text).join(v, "word")
+        joined = toks.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("k")).join(v, "word")
     sums = [F.sum(F.col("k") * F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
-    agg = joined.groupBy("doc_id").agg(F.sum("k").alias("_n"), *sums)
-    return agg.select("doc_id", F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
+    agg = joined.groupBy(*keys).agg(F.sum("k").alias("_n"), *sums)
+    return agg.select(*keys, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
 
 
 def join_features(features: DataFrame, records: DataFrame, id_col: str = "doc_id", label: str = "label") -> DataFrame:
