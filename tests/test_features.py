@@ -66,3 +66,22 @@ def test_join_features_many_to_many(spark):
     out = FT.join_features(f, r)
     assert out.count() == 4                      # repeated id: 2 x 2 rows; unlabelled id 2 dropped
     assert out.where("doc_id = 2").count() == 0
+
+
+def test_large_model_paths_equal_broadcast_paths(spark):
+    """Past the broadcast bound the token joins shuffle; results must not change."""
+    from dataclasses import replace
+    from conftest import SF_SMALL
+    from wordloom.operators.corpus import word_records
+    from wordloom.session import table
+    d = word_records(table(spark, SF_SMALL, "documents"))
+    vecs = FT.md5_word_vectors(d).cache()
+    n = vecs.count()
+    a = FT.doc_vector_mean(d, vecs, n_vectors=n, dim=4, carry=("label",))
+    b = FT.doc_vector_mean(d, vecs, n_vectors=None, dim=4, carry=("label",))
+    r = lambda df: df.select("doc_id", "label", F.transform("features", lambda x: F.round(x, 9)).alias("f"))
+    assert a.count() == b.count() > 0 and r(a).exceptAll(r(b)).count() == 0
+    model = FT.fit_wcp(d)
+    s1 = FT.score_wcp(model, d).select("doc_id", "label", F.round("score", 6).alias("s"))
+    s2 = FT.score_wcp(replace(model, n_words=None), d).select("doc_id", "label", F.round("score", 6).alias("s"))
+    assert s1.count() == s2.count() > 0 and s1.exceptAll(s2).count() == 0

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Largest number of rows a side may have to be broadcast on the strength of a bound check.
 MAX_BROADCAST_ROWS = 200_000
+# Largest estimated size of a counted table (model vectors, word counts) forced into a broadcast.
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -23,6 +25,11 @@ def distinct_at_most(df: DataFrame, cols, max_rows: int = MAX_BROADCAST_ROWS) ->
     return has_at_most(df.select(*cols).distinct(), max_rows)
 
 
+def fits_broadcast(n_rows: int | None, row_bytes: int) -> bool:
+    """A counted table may be broadcast when ``rows x estimated row size`` is within the byte bound."""
+    return n_rows is not None and n_rows * row_bytes <= MAX_BROADCAST_BYTES
+
+
 def maybe_broadcast(small: DataFrame, proven_small: bool) -> DataFrame:
     """Broadcast only behind a proven bound; otherwise leave the choice to AQE at runtime."""
     return F.broadcast(small) if proven_small else small

@@ -17,10 +17,11 @@ from wordloom import constants as K
 from wordloom.functions.hashing import md5_bucket, md5_unit
 from wordloom.functions.text import tokens
 from wordloom.functions.vectors import as_double_array, cosine, pad
-from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, maybe_broadcast
+from wordloom.operators.common import (MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, fits_broadcast,
+                                       maybe_broadcast)
 
 MAX_CLASSES = 100_000
-MAX_MODEL_BROADCAST_ROWS = 2_000_000
+WORD_BYTES = 48  # estimated bytes of a word key and row overhead
 
 
 def doc_terms(df: DataFrame, id_col: str = "doc_id", text: str = "words") -> DataFrame:
@@ -80,7 +81,8 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     """F3/A7 (+P5, P6): mean of the vectors of the *known* words of each text (repeats count);
     unknown words are skipped and a text without known words is dropped (inner join).
 
-    With a vector table proven small (``n_vectors``, e.g. from ``common.materialize``) tokens meet
+    With a vector table proven small (``n_vectors`` counted, e.g. by ``common.materialize``, times
+    the vector width within ``common.MAX_BROADCAST_BYTES``) tokens meet
     it by broadcast and the per-dimension sums are partially aggregated per text before the one
     shuffle. Otherwise token counts per (text, word) are formed first, so a frequent word adds
     one weighted row per text, and the vocabulary join is left to AQE (it grows with the corpus).
@@ -92,7 +94,7 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     v = vectors.select("word", as_double_array("vector").alias("_v"))
     keys = ["doc_id", *carry]
     toks = df.select(F.col(id_col).alias("doc_id"), *carry, F.explode(tokens(text)).alias("word"))
-    if n_vectors is not None and n_vectors <= MAX_MODEL_BROADCAST_ROWS:
+    if fits_broadcast(n_vectors, WORD_BYTES + 8 * dim):
         joined = toks.join(F.broadcast(v), "word").withColumn("k", F.lit(1))
     else:
         joined = toks.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("k")).join(v, "word")
@@ -157,7 +159,7 @@ def _wcp_sums(model: WcpModel, score: DataFrame, text: str, id_col: str) -> Data
     k = len(model.classes)
     toks = score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w")) \
         .select("doc_id", F.lower("w").alias("word"))
-    small = model.n_words is not None and model.n_words <= MAX_MODEL_BROADCAST_ROWS
+    small = fits_broadcast(model.n_words, WORD_BYTES + 8 * k)
     if small:
         j = toks.join(F.broadcast(model.words), "word", "left").withColumn("_k", F.lit(1))
     else:
