@@ -54,7 +54,7 @@ def java_split(c, sep: str = " ") -> Column:
     if len(sep) == 1:
         stripped = F.rtrim(c, F.lit(sep))
     else:
-        stripped = F.regexp_replace(c, f"(?:{q})+$", "")
+        stripped = F.regexp_replace(c, f"(?:{q})+\\z", "")   # \z: Java's $ also matches before a final newline
     return (F.when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, q)))
@@ -78,7 +78,7 @@ def words_only(c) -> Column:
     and only then ``[^\\w ]`` is deleted -- a token such as ``--`` therefore still leaves an
     empty word (a double space). :func:`words_only_split` is the literal split/filter form.
     """
-    no_blank = F.regexp_replace(F.lower(col_(c)), r"(?<=^| )[\x00-\x1F]+(?= |$)", "")
+    no_blank = F.regexp_replace(F.lower(col_(c)), r"(?<=\A| )[\x00-\x1F]+(?= |\z)", "")
     joined = F.trim(F.regexp_replace(no_blank, " {2,}", " "), F.lit(" "))
     return F.regexp_replace(joined, r"[^\w ]", "")
 
@@ -111,7 +111,7 @@ def word_tokens(c) -> Column:
 
 def keep_token(t: Column, stopwords=K.STOPWORDS) -> Column:
     """T6 predicate: length > 2, not a stopword (tested before lower-casing), letters only."""
-    return (F.length(t) > 2) & ~t.isin(list(stopwords)) & t.rlike(r"^\p{L}+$")
+    return (F.length(t) > 2) & ~t.isin(list(stopwords)) & t.rlike(r"\A\p{L}+\z")
 
 
 def filter_tokens(arr, stopwords=K.STOPWORDS) -> Column:

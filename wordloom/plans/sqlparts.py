@@ -27,7 +27,7 @@ def java_split(x: str, sep: str = " ") -> str:
     if len(sep) == 1:
         stripped = f"rtrim({x}, {lit(sep)})"
     else:
-        stripped = f"regexp_replace({x}, {lit('(?:' + rx_quote(sep) + ')+$')}, '')"
+        stripped = f"regexp_replace({x}, {lit('(?:' + rx_quote(sep) + ')+' + chr(92) + 'z')}, '')"
     return (f"(CASE WHEN {x} = '' THEN [''] WHEN {stripped} = '' THEN []::VARCHAR[] "
             f"ELSE string_split({stripped}, {lit(sep)}) END)")
 

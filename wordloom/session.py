@@ -29,6 +29,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
