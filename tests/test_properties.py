@@ -46,3 +46,25 @@ def test_java_split_property(spark, texts):
 def test_words_only_property(spark, texts):
     got = run(spark, texts, T.words_only)
     assert got == [py_words_only(t) for t in texts]
+
+
+CLEAN_ALPHABET = st.sampled_from(["The", "the", "cats", "was", "#tag", "abc123", "ÉTÉ", "año", "x", "ab", " ", " ",
+                                  ",", ".", "-", "don't", "\t", "\n", "über", "naïve", "is", "a1b"])
+CLEAN_TEXTS = st.lists(st.lists(CLEAN_ALPHABET, max_size=15).map("".join), min_size=1, max_size=40)
+
+
+def py_clean_text(s: str, lemmas: dict[str, str]) -> str:
+    import regex
+    from wordloom.constants import STOPWORDS
+    toks = regex.findall(r"[^\t\n\x0B\f\r \p{P}\p{S}]+", s.replace("#", ""))
+    toks = [lemmas.get(t.lower(), t) for t in toks]
+    keep = [t for t in toks if len(t) > 2 and t not in STOPWORDS and regex.fullmatch(r"\p{L}+", t)]
+    return " ".join(t.lower() for t in keep)
+
+
+@settings(max_examples=10, deadline=None)
+@given(CLEAN_TEXTS)
+def test_clean_text_property(spark, texts):
+    lemmas = {"cats": "cat", "was": "be", "is": "be"}
+    got = run(spark, texts, lambda c: T.clean_text(c, lemmas))
+    assert got == [py_clean_text(t, lemmas) for t in texts]
