@@ -68,3 +68,46 @@ def test_clean_text_property(spark, texts):
     lemmas = {"cats": "cat", "was": "be", "is": "be"}
     got = run(spark, texts, lambda c: T.clean_text(c, lemmas))
     assert got == [py_clean_text(t, lemmas) for t in texts]
+
+
+LINE_ALPHABET = st.sampled_from(["1", "2.5", "x", "|", "; ", ";", " ", "ab", "\t", "-", "7"])
+LINES = st.lists(st.lists(LINE_ALPHABET, max_size=10).map("".join), min_size=1, max_size=40)
+
+
+def _num(s):
+    try:
+        return float(s.strip()) if s.strip() not in ("", "nan", "inf") else None
+    except ValueError:
+        return None
+
+
+@settings(max_examples=10, deadline=None)
+@given(LINES)
+def test_delimited_parsers_property(spark, lines):
+    from wordloom.sources import delimited as D
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "line_id int, line string")
+    # Exactly two parts and a numeric label
+    got = {r["id"]: (r["text"], r["label"]) for r in D.good(D.parse_label_text(df)).collect()}
+    want = {}
+    for i, t in enumerate(lines):
+        p = py_java_split(t, "|")
+        if len(p) == 2 and _num(p[0]) is not None:
+            want[str(i)] = (p[1], _num(p[0]))
+    assert got == want
+    # S3: '; ' three parts first, else '|' two parts
+    got3 = sorted((r["id"], r["raw_label"], r["text"], r["fmt"]) for r in D.good(D.parse_mixed(df)).collect())
+    want3 = []
+    for i, t in enumerate(lines):
+        a, b = py_java_split(t, "; "), py_java_split(t, "|")
+        if len(a) == 3:
+            want3.append((a[1], a[0], a[2], "semi"))
+        elif len(b) == 2:
+            want3.append((str(i), b[0], b[1], "pipe"))
+    assert got3 == sorted(want3)
+    # Split at the first ';'
+    got4 = sorted((r["key"], r["text"]) for r in D.good(D.parse_key_text(df)).collect())
+    assert got4 == sorted(tuple(t.split(";", 1)) for t in lines if ";" in t)
+    # Trim, split on ' ', distinct keeping first-seen order
+    got5 = [r["items"] for r in df.orderBy("line_id").select(D.parse_transaction("line").alias("items")).collect()]
+    want5 = [list(dict.fromkeys(py_java_split(t.strip("".join(chr(c) for c in range(33))), " "))) for t in lines]
+    assert got5 == want5
