@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wordloom.operators.corpus import split_column, word_records
 from wordloom.operators.features import fit_wcp
