@@ -24,7 +24,7 @@ def run(spark, sf):
     model = fitted_model(spark, sf)
     p = scorer.new_paths(spark)
     scorer.stage_landing(docs, p["landing"], N_FILES)
-    scorer.run_stream(spark, model, p["landing"], docs.schema, p["cells"], p["checkpoint"])
+    scorer.run_stream(spark, scorer.wcp_scorer(model), p["landing"], docs.schema, p["cells"], p["checkpoint"])
     return p
 
 

@@ -31,22 +31,45 @@ def score_records(model: WcpModel, df: DataFrame) -> DataFrame:
     return best.select(F.col("doc_id").alias("row_key"), F.col("prediction").cast("string").alias("prediction"))
 
 
+def wcp_scorer(model: WcpModel):
+    """Scoring function for :func:`run_stream`: class log-probability argmax."""
+    return lambda df: score_records(model, df)
+
+
+def pipeline_scorer(model, names: bool = True):
+    """Scoring function for :func:`run_stream` from a fitted Spark ML ``PipelineModel`` that reads
+    ``words`` (M7): records are cleaned (T1, T2), scored, and the predicted class number is
+    written as its label name (L4) or as the number."""
+    from wordloom.operators.labels import label_names
+
+    def score(df: DataFrame) -> DataFrame:
+        recs = word_records(df.withColumn("row_key", key_column()), label=None, id_col="row_key")
+        pred = model.transform(recs).select(F.col("doc_id").alias("row_key"), "prediction")
+        if names:
+            return label_names(df.sparkSession, pred, "prediction", "name").select(
+                "row_key", F.col("name").alias("prediction"))
+        return pred.select("row_key", F.col("prediction").cast("string").alias("prediction"))
+    return score
+
+
 def stage_landing(df: DataFrame, path: str, n_files: int) -> None:
     """Lay a table out as ``n_files`` files in a landing folder (the stream's input)."""
     df.repartition(n_files).write.mode("overwrite").parquet(path)
 
 
-def run_stream(spark: SparkSession, model: WcpModel, landing: str, schema, cells_path: str,
+def run_stream(spark: SparkSession, score, landing: str, schema, cells_path: str,
                checkpoint: str, max_files_per_trigger: int = 1) -> int:
     """Score everything in ``landing`` batch by batch; returns the number of batches.
 
-    One job per batch: score and append the batch's label cells to ``cells_path/batch=<id>``
-    (overwritten on replay). Every record yields exactly one cell, so per-batch row counts
-    are read back from the cell log (:func:`batch_totals`) instead of a second pass."""
+    ``score`` maps a batch of records to ``(row_key, prediction)`` (:func:`wcp_scorer`,
+    :func:`pipeline_scorer`). One job per batch: score and append the batch's label cells to
+    ``cells_path/batch=<id>`` (overwritten on replay). Every record yields exactly one cell, so
+    per-batch row counts are read back from the cell log (:func:`batch_totals`) instead of a
+    second pass."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        pred = score_records(model, spread(batch))
+        pred = score(spread(batch))
         C.append_cells(C.label_cells(pred, "row_key", "prediction", batch=batch_id), cells_path, batch_id=batch_id)
 
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
