@@ -145,10 +145,12 @@ def _wcp_scores(spark, sf):
 
 @register("wcp_features", f"""
 WITH {WCP_SQL_CTE.replace(WORDS_CTE + ',', WORDS_CTE + ', ' + TOKS_CTE + ',', 1)}
-SELECT doc_id, label, round(score, 6) AS score FROM sc
+SELECT doc_id, label, round(score, 4) AS score FROM sc
 """)
 def q_wcp_features(spark, sf):
-    return _wcp_scores(spark, sf).select("doc_id", "label", F.round("score", 6).alias("score"))
+    """Scores are sums of hundreds of logs (magnitude ~1e3) added in engine-specific order;
+    4 decimals (8 significant digits) keeps the comparison independent of that order."""
+    return _wcp_scores(spark, sf).select("doc_id", "label", F.round("score", 4).alias("score"))
 
 
 @register("frequent_itemsets", f"""
