@@ -17,9 +17,10 @@ RECORD_COLS = ["id", "text", "label"]
 
 
 def line_ids() -> Column:
-    """Deterministic id for lines read from files: file hash + position in the scan."""
-    return F.concat(F.substring(F.md5(F.input_file_name()), 1, 12), F.lit(":"),
-                    F.monotonically_increasing_id().cast("string"))
+    """Id for lines read from files (D4): the line's position in the scan
+    (``monotonically_increasing_id``: partition index in the high bits, row in the low bits),
+    unique across the read and repeatable for the same files and split settings."""
+    return F.monotonically_increasing_id().cast("string")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
