@@ -85,3 +85,15 @@ def test_large_model_paths_equal_broadcast_paths(spark):
     s1 = FT.score_wcp(model, d).select("doc_id", "label", F.round("score", 6).alias("s"))
     s2 = FT.score_wcp(replace(model, n_words=None), d).select("doc_id", "label", F.round("score", 6).alias("s"))
     assert s1.count() == s2.count() > 0 and s1.exceptAll(s2).count() == 0
+
+
+def test_wcp_fit_paths_agree(spark, monkeypatch):
+    """Per-class count columns (few classes) and the (label, word) two-step (many classes)."""
+    from conftest import SF_SMALL
+    from wordloom.operators.corpus import word_records
+    from wordloom.session import table
+    d = word_records(table(spark, SF_SMALL, "documents"))
+    a = FT.score_wcp(FT.fit_wcp(d), d).select("doc_id", "label", F.round("score", 6).alias("s"))
+    monkeypatch.setattr(FT, "WIDE_CLASSES", 0)
+    b = FT.score_wcp(FT.fit_wcp(d), d).select("doc_id", "label", F.round("score", 6).alias("s"))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0

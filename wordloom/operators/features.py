@@ -22,6 +22,7 @@ from wordloom.operators.common import (MAX_BROADCAST_ROWS, bounded_distinct, dis
 
 MAX_CLASSES = 100_000
 WORD_BYTES = 48  # estimated bytes of a word key and row overhead
+WIDE_CLASSES = 256  # up to this many classes, per-class counts are columns of one aggregate
 
 
 def doc_terms(df: DataFrame, id_col: str = "doc_id", text: str = "words") -> DataFrame:
@@ -135,11 +136,17 @@ def fit_wcp(train: DataFrame, label: str = "label", text: str = "words",
     labels = bounded_distinct(train, label, MAX_CLASSES)
     if labels is None:
         raise ValueError("too many classes for per-class scores")
-    cw = (train.select(F.col(label).alias("label"), F.explode(tokens(text)).alias("w"))
-          .where(F.col("label").isNotNull())
-          .groupBy("label", F.lower("w").alias("word")).agg(F.count(F.lit(1)).alias("n")))
-    by_word = cw.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("_m"))
-    nv = F.array(*[F.coalesce(F.col("_m")[F.lit(c)], F.lit(0)).cast("bigint") for c in labels])
+    toks = (train.select(F.col(label).alias("label"), F.explode(tokens(text)).alias("w"))
+            .where(F.col("label").isNotNull()).select("label", F.lower("w").alias("word")))
+    if len(labels) <= WIDE_CLASSES:
+        # One hash aggregate keyed by word, one count per class (partial before the shuffle).
+        by_word = toks.groupBy("word").agg(*[F.count_if(F.col("label") == F.lit(c)).alias(f"_n{i}")
+                                            for i, c in enumerate(labels)])
+        nv = F.array(*[F.col(f"_n{i}").cast("bigint") for i in range(len(labels))])
+    else:
+        cw = toks.groupBy("label", "word").agg(F.count(F.lit(1)).alias("n"))
+        by_word = cw.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("_m"))
+        nv = F.array(*[F.coalesce(F.col("_m")[F.lit(c)], F.lit(0)).cast("bigint") for c in labels])
     words = (by_word.select("word", nv.alias("nv"))
              .withColumn("lnv", F.transform("nv", lambda n: F.log1p(n.cast("double"))))
              .checkpoint(eager=True))
