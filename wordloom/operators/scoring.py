@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from wordloom import constants as K
 from wordloom.functions.vectors import dot_cast, let_
 
+MAX_MODEL_CLASSES = 10_000
 MAX_MODEL_VALUES = 2_000_000
 
 
 def model_matrix(model: DataFrame, cls: str = "class", weights: str = "weights") -> list[list[float]]:
-    """Collect a bounded linear model, rows ordered by class; classes must be 0..K-1."""
-    rows = model.select(F.col(cls).cast("int").alias("c"), weights).limit(MAX_MODEL_VALUES + 1).collect()
+    """Collect a bounded linear model, rows ordered by class; classes must be 0..K-1. At most
+    ``MAX_MODEL_CLASSES + 1`` rows are read before the bound is enforced."""
+    rows = model.select(F.col(cls).cast("int").alias("c"), weights).limit(MAX_MODEL_CLASSES + 1).collect()
+    if len(rows) > MAX_MODEL_CLASSES:
+        raise ValueError("model has too many classes to score in-row")
     rows = sorted(rows, key=lambda r: r["c"])
     if [r["c"] for r in rows] != list(range(len(rows))):
         raise ValueError("classes must be 0..K-1")
