@@ -75,11 +75,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan whose partitions are fewer than the cores.
 
     A file with a single row group is read by one task, which would serialize the CPU-heavy
-    text work (regexes, tokenizing). On a cluster reading many files (more files than cores)
-    this is a no-op; filters and column pruning still reach the scan (they are pushed through
-    a round-robin repartition). The file count comes from the file index, no job is run.
+    text work (regexes, tokenizing). The decision uses the scan's planned splits (files cut by
+    ``spark.sql.files.maxPartitionBytes``), so a large input -- many files or one big file with
+    many row groups -- is left alone and never shuffled for this; filters and column pruning
+    still reach the scan (they are pushed through a round-robin repartition).
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < want:
+    if df._jdf.rdd().getNumPartitions() < want:   # planned scan splits; no job runs
         return df.repartition(want)
     return df
