@@ -97,3 +97,10 @@ def test_wcp_fit_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(FT, "WIDE_CLASSES", 0)
     b = FT.score_wcp(FT.fit_wcp(d), d).select("doc_id", "label", F.round("score", 6).alias("s"))
     assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_argmax_label_lowest_class_on_ties(spark):
+    df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 2.0), (1, "c", 1.0), (2, "c", 5.0), (2, "a", 1.0)],
+                               "doc_id int, label string, score double")
+    got = {r["doc_id"]: (r["prediction"], r["best_score"]) for r in FT.argmax_label(df).collect()}
+    assert got == {1: ("a", 2.0), 2: ("c", 5.0)}

@@ -54,3 +54,9 @@ def test_write_key_lines_roundtrip(spark, tmp_dir):
     D.write_key_lines(df, out)
     back = sorted(r["value"] for r in spark.read.text(out).collect())
     assert back == ["k1;a b", "k2;"]
+
+
+def test_read_stopwords_keeps_lines_verbatim(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "stop.txt"), ["the", "ours\tourselves", "a"])
+    got = sorted(r["word"] for r in D.read_stopwords(spark, p).collect())
+    assert got == ["a", "ours\tourselves", "the"]

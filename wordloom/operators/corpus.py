@@ -29,7 +29,3 @@ def split_column(id_col: str = "doc_id", train_buckets: int = 7, buckets: int =
 def fold_column(id_col: str = "doc_id", k: int = 5):
     """Fold number by the same md5 bucket."""
     return md5_bucket(id_col, k)
-
-
-def with_split(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return df.withColumn("split", split_column(id_col))

@@ -25,12 +25,6 @@ WORD_BYTES = 48  # estimated bytes of a word key and row overhead
 WIDE_CLASSES = 256  # up to this many classes, per-class counts are columns of one aggregate
 
 
-def doc_terms(df: DataFrame, id_col: str = "doc_id", text: str = "words") -> DataFrame:
-    """``(doc_id, word, k)``: occurrences of each token (Java split on one space) per text."""
-    return (df.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("word"))
-            .groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("k")))
-
-
 def hash_tf(df: DataFrame, id_col: str = "doc_id", text: str = "words",
             buckets: int = K.HASH_TF_BUCKETS) -> DataFrame:
     """term frequency per hash bucket ``(doc_id, bucket, tf)`` (one grouped pass)."""
