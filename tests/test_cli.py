@@ -48,3 +48,19 @@ def test_score(spark, tmp_dir):
     d.select("doc_id", "source", "text").repartition(2).write.mode("overwrite").parquet(tmp_dir + "/landing")
     lines = _run(["score", tmp_dir + "/landing", "--model", tmp_dir + "/model", "--cells", tmp_dir + "/cells"])
     assert lines[-1] == "2 batches" and lines[-2].endswith(f"{d.count()} overall")
+
+
+def test_score_collection(spark, tmp_dir):
+    from pyspark.ml import Pipeline
+    from wordloom import constants as K
+    from wordloom.operators.corpus import word_records
+    from wordloom.plans import models
+    from wordloom.sources import cells as C
+    d = table(spark, SF_SMALL, "documents")
+    train = word_records(d.withColumn("y", F.when(F.col("lang") == "en", 1.0).otherwise(2.0)), label="y")
+    Pipeline(stages=models.tfidf_stages() + [models.logistic()]).fit(train).write().overwrite().save(tmp_dir + "/m")
+    key = F.concat_ws("-", "source", F.col("doc_id").cast("string"))
+    C.write_store(d.select(*C.cells(key, K.COLLECTION_FAMILY, K.COLLECTION_QUALIFIER, F.col("text"))), tmp_dir + "/store")
+    lines = _run(["score-collection", tmp_dir + "/store", "src1", "--model", tmp_dir + "/m", "--cells", tmp_dir + "/out"])
+    n = d.where(F.col("source") == "src1").count()
+    assert lines[-1] == f"{n} records labelled" and n > 0

@@ -3,6 +3,7 @@
     python -m wordloom single TRAIN TEST [--features tfidf|w2v]
     python -m wordloom grid DIR --train train --test test --suffix 1 2 [--repeats N] [--features ...]
     python -m wordloom score LANDING --model MODEL_DIR --cells OUT [--files-per-batch N]
+    python -m wordloom score-collection STORE COLLECTION_ID --model MODEL_DIR --cells OUT
 
 Train/test files are read with the mixed reader (``label; id; text`` or ``label|text``, labels
 indexed train-first). Metric rows are printed as a header and one CSV line per run, per set and
@@ -77,6 +78,12 @@ def main(argv: list[str] | None = None) -> int:
     s3.add_argument("--model", required=True)
     s3.add_argument("--cells", required=True)
     s3.add_argument("--files-per-batch", type=int, default=1)
+    s4 = sub.add_parser("score-collection")
+    s4.add_argument("store")
+    s4.add_argument("collection")
+    s4.add_argument("--model", required=True)
+    s4.add_argument("--cells", required=True)
+    s4.add_argument("--batch-id", type=int, default=0)
     a = ap.parse_args(argv)
 
     from wordloom.session import get_session
@@ -90,6 +97,15 @@ def main(argv: list[str] | None = None) -> int:
             train, test = _records(spark, f"{a.dir}/{a.train}{suffix}", f"{a.dir}/{a.test}{suffix}")
             sets.append([_run(train, test, a.features) for _ in range(a.repeats)])
         _print_sets(sets)
+    elif a.cmd == "score-collection":
+        from pyspark.ml import PipelineModel
+        from wordloom.sources import cells as C
+        from wordloom.streaming import scorer
+        model = PipelineModel.load(a.model)
+        scorer.score_collection(spark, C.read_cells(spark, a.store), a.collection, scorer.pipeline_scorer(model),
+                                a.cells, a.batch_id)
+        n = scorer.latest_labels(spark, a.cells).count()
+        print(f"{n} records labelled")
     else:
         from pyspark.ml import PipelineModel
         from wordloom.session import scratch_path

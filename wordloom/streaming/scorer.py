@@ -24,9 +24,14 @@ def key_column() -> F.Column:
     return F.concat_ws("-", "source", F.col("doc_id").cast("string"))
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """Records keyed by ``row_key``: kept when present (store scans), else ``source-doc_id``."""
+    return df if "row_key" in df.columns else df.withColumn("row_key", key_column())
+
+
 def score_records(model: WcpModel, df: DataFrame) -> DataFrame:
     """Batch form of the scorer: ``(row_key, prediction)`` for every record of ``df``."""
-    recs = word_records(df.withColumn("row_key", key_column()), label=None, id_col="row_key")
+    recs = word_records(_keyed(df), label=None, id_col="row_key")
     best = predict_wcp(model, recs)
     return best.select(F.col("doc_id").alias("row_key"), F.col("prediction").cast("string").alias("prediction"))
 
@@ -43,7 +48,7 @@ def pipeline_scorer(model, names: bool = True):
     from wordloom.operators.labels import label_names
 
     def score(df: DataFrame) -> DataFrame:
-        recs = word_records(df.withColumn("row_key", key_column()), label=None, id_col="row_key")
+        recs = word_records(_keyed(df), label=None, id_col="row_key")
         pred = model.transform(recs).select(F.col("doc_id").alias("row_key"), "prediction")
         if names:
             return label_names(df.sparkSession, pred, "prediction", "name").select(
@@ -78,6 +83,17 @@ def run_stream(spark: SparkSession, score, landing: str, schema, cells_path: str
     return len(q.recentProgress)
 
 
+def score_collection(spark: SparkSession, store: DataFrame, collection_id: str, score, cells_path: str,
+                     batch_id: int = 0) -> None:
+    """M7 as one batch job: scan one collection's text cells from the keyed store (S7, pushed
+    into Parquet), score every record and write its label cell (K1). The original pulled the
+    rows to the client ``n`` at a time; here the scan itself is distributed, so there is no
+    batching loop, and the write owns ``batch=<batch_id>`` (idempotent on re-run)."""
+    recs = C.scan_collection(store, collection_id).select("row_key", F.col("value").alias("text"))
+    pred = score(recs)
+    C.append_cells(C.label_cells(pred, "row_key", "prediction", batch=batch_id), cells_path, batch_id=batch_id)
+
+
 def batch_totals(spark: SparkSession, cells_path: str) -> DataFrame:
     """Rows per batch and the running total. Counted from the cell log's ``batch``
     partition column; the window runs over the batch table (one row per batch), not rows."""
