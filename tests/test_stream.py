@@ -38,3 +38,31 @@ def test_pipeline_model_through_the_same_stream(spark):
     assert streamed.exceptAll(batch).count() == 0
     names = {r["value"] for r in streamed.select("value").distinct().collect()}
     assert names and all(isinstance(x, str) and x for x in names)
+
+
+def test_failed_batch_is_replayed_idempotently(spark):
+    """A batch that fails mid-stream is replayed from the checkpoint on restart; its folder is
+    overwritten, so the final cells equal the batch result with no duplicates."""
+    import pytest
+    model = q_stream.fitted_model(spark, SF_SMALL)
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "source", "text")
+    p = scorer.new_paths(spark)
+    scorer.stage_landing(docs, p["landing"], 3)
+    calls = {"n": 0}
+    good = scorer.wcp_scorer(model)
+
+    def flaky(df):
+        calls["n"] += 1
+        out = good(df)
+        if calls["n"] == 2:          # the second batch writes part of its work, then fails
+            from wordloom.sources import cells as C
+            C.append_cells(C.label_cells(out.limit(3), "row_key", "prediction", batch=1), p["cells"], batch_id=1)
+            raise RuntimeError("executor lost")
+        return out
+    with pytest.raises(Exception):
+        scorer.run_stream(spark, flaky, p["landing"], docs.schema, p["cells"], p["checkpoint"])
+    scorer.run_stream(spark, good, p["landing"], docs.schema, p["cells"], p["checkpoint"])   # restart
+    log = spark.read.parquet(p["cells"])
+    assert log.count() == docs.count()                       # one cell per record, none duplicated
+    batch = scorer.score_records(model, docs).select("row_key", F.col("prediction").alias("value"))
+    assert scorer.latest_labels(spark, p["cells"]).exceptAll(batch).count() == 0
