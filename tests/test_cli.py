@@ -31,8 +31,10 @@ def _run(argv):
 def test_single_and_grid(spark, tmp_dir):
     _files(spark, tmp_dir)
     lines = _run(["single", tmp_dir + "/train1", tmp_dir + "/test1", "--features", "tfidf"])
-    assert lines[1] == HEADER and len(lines[2].split(",")) == 7
-    micro = float(lines[2].split(",")[0])
+    assert "Histogram begin" in lines and "the stats have been generated" in lines
+    i = lines.index("###Per set ###")
+    assert lines[i + 1] == HEADER and len(lines[i + 2].split(",")) == 7
+    micro = float(lines[i + 2].split(",")[0])
     assert 0.5 < micro <= 1.0
     grid = _run(["grid", tmp_dir, "--suffix", "1", "--repeats", "2", "--features", "tfidf"])
     assert grid.count(HEADER) == 2 and len(grid) == 2 + 2 + 1 + 1 + 2
@@ -64,3 +66,21 @@ def test_score_collection(spark, tmp_dir):
     lines = _run(["score-collection", tmp_dir + "/store", "src1", "--model", tmp_dir + "/m", "--cells", tmp_dir + "/out"])
     n = d.where(F.col("source") == "src1").count()
     assert lines[-1] == f"{n} records labelled" and n > 0
+
+
+def test_reject_clean_fpgrowth(spark, tmp_dir):
+    d = table(spark, SF_SMALL, "documents")
+    text = F.regexp_replace("text", "[|;\\n]", " ")
+    lab = F.when(F.col("lang") == "en", "1").otherwise("2")
+    d.where(F.col("doc_id") % 3 != 0).select(F.concat_ws("|", lab, text)).write.mode("overwrite").text(tmp_dir + "/tr")
+    d.where(F.col("doc_id") % 3 == 0).select(F.concat_ws("|", lab, text)).write.mode("overwrite").text(tmp_dir + "/te")
+    out = _run(["reject", tmp_dir + "/tr", tmp_dir + "/te"])
+    assert any(x.startswith("Zero class count") for x in out) and out[-1].startswith("Micro F1 = ")
+    d.select(F.concat_ws(";", "source", "text")).write.mode("overwrite").text(tmp_dir + "/kt")
+    _run(["clean", tmp_dir + "/kt", tmp_dir + "/cleaned"])
+    cleaned = spark.read.text(tmp_dir + "/cleaned")
+    assert cleaned.count() == d.count() and cleaned.where(~F.col("value").contains(";")).count() == 0
+    spark.createDataFrame([("a b c",), ("a b",), (" a  c ",), ("b",)], "v string").coalesce(1) \
+        .write.mode("overwrite").text(tmp_dir + "/tx")
+    fp = _run(["fpgrowth", tmp_dir + "/tx", "--min-support", "0.5"])
+    assert "[a], 3" in fp and "[b], 3" in fp and "[a,b], 2" in fp

@@ -4,6 +4,9 @@
     python -m wordloom grid DIR --train train --test test --suffix 1 2 [--repeats N] [--features ...]
     python -m wordloom score LANDING --model MODEL_DIR --cells OUT [--files-per-batch N]
     python -m wordloom score-collection STORE COLLECTION_ID --model MODEL_DIR --cells OUT
+    python -m wordloom reject TRAIN TEST [--delim '|'] [--threshold 0.25]
+    python -m wordloom clean INPUT OUTPUT            (key;text lines -> key;cleaned lines)
+    python -m wordloom fpgrowth INPUT [--min-support 0.3]
 
 Train/test files are read with the mixed reader (``label; id; text`` or ``label|text``, labels
 indexed train-first). Metric rows are printed as a header and one CSV line per run, per set and
@@ -58,6 +61,55 @@ def _print_sets(sets: list[list[list]]) -> None:
             print(",".join(str(v) for v in m))
 
 
+def _stats(train: DataFrame, test: DataFrame) -> None:
+    """Corpus statistics and the class-size histogram of train union test."""
+    from wordloom.operators import stats
+    spark = train.sparkSession
+    r = stats.corpus_stats(train, test, "raw_label").first()
+    print(f"train rows {r['train_rows']}, test rows {r['test_rows']}, classes {r['num_classes']}, "
+          f"smallest class {r['min_class_size']} (x{r['n_min_classes']}), largest class {r['max_class_size']}")
+    print("Histogram begin")
+    hist = stats.class_size_histogram(spark, train.unionByName(test), "raw_label")
+    for row in hist.orderBy("class_size").toLocalIterator():
+        print(f"{row['class_size']}\t{row['n_classes']}")
+    print("the stats have been generated")
+
+
+def _reject(spark: SparkSession, train_path: str, test_path: str, delim: str, threshold: float) -> None:
+    """Word2Vec features, logistic regression, pivot-class scores with the reject option, then the
+    confident-error / unsure-hit counts, the class-0 count and the metrics."""
+    from pyspark.ml.functions import vector_to_array
+    from wordloom.functions.text import strip_markup, words_only
+    from wordloom.operators import metrics, scoring
+    from wordloom.plans import models
+    from wordloom.sources import delimited as D
+
+    def load(path, tag):
+        r = D.good(D.read_label_text(spark, path, delim=delim))
+        return r.select(F.concat_ws(":", F.lit(tag), "id").alias("doc_id"), "label",
+                        words_only(strip_markup("text")).alias("words"))
+    train, test = load(train_path, "train"), load(test_path, "test")
+    w2v = models.fit_word2vec(train)
+    lr = models.logistic().fit(models.w2v_features(w2v, train))
+    rows = lr.coefficientMatrix.toArray().tolist()
+    feats = models.w2v_features(w2v, test).withColumn("f", vector_to_array("features"))
+    scored = scoring.legacy_scores(feats, rows, "f", threshold).persist()
+    print(f"confident errors: {scoring.confident_errors(scored, threshold=threshold).count()}")
+    print(f"unsure hits: {scoring.unsure_hits(scored, threshold=threshold).count()}")
+    print(f"Zero class count =  {scoring.zero_class_count(scored).first()['n_zero']}")
+    pred = scored.select("label", F.col("final").alias("prediction"))
+    for r in metrics.per_class(pred).orderBy("label").toLocalIterator():
+        print(f"Class:{r['label']} F1 Score:{r['f1']} True Positive:{r['tpr']} False Positive:{r['fpr']} "
+              f"Precision:{r['precision']} Recall:{r['recall']}")
+    o = metrics.overall(pred).first()
+    print(f"Weighted F1-Measure = {o['weighted_f1']}")
+    print(f"Weighted Precision = {o['weighted_precision']}")
+    print(f"Weighted Recall = {o['weighted_recall']}")
+    print(f"Macro F1 = {o['macro_f1']}")
+    print(f"Micro F1 = {o['micro_f1']}")
+    scored.unpersist()
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="wordloom")
     ap.add_argument("--master", default=None, help="only for local runs; clusters use spark-submit")
@@ -84,13 +136,41 @@ def main(argv: list[str] | None = None) -> int:
     s4.add_argument("--model", required=True)
     s4.add_argument("--cells", required=True)
     s4.add_argument("--batch-id", type=int, default=0)
+    s5 = sub.add_parser("reject")
+    s5.add_argument("train")
+    s5.add_argument("test")
+    s5.add_argument("--delim", default="|")
+    s5.add_argument("--threshold", type=float, default=0.25)
+    s6 = sub.add_parser("clean")
+    s6.add_argument("input")
+    s6.add_argument("output")
+    s7 = sub.add_parser("fpgrowth")
+    s7.add_argument("input")
+    s7.add_argument("--min-support", type=float, default=0.3)
+    s7.add_argument("--partitions", type=int, default=None)
     a = ap.parse_args(argv)
 
     from wordloom.session import get_session
     spark = get_session(a.master)
     if a.cmd == "single":
         train, test = _records(spark, a.train, a.test)
+        _stats(train, test)
         _print_sets([[_run(train, test, a.features)]])
+    elif a.cmd == "reject":
+        _reject(spark, a.train, a.test, a.delim, a.threshold)
+    elif a.cmd == "clean":
+        from wordloom.functions.text import clean_text
+        from wordloom.operators.cleaning import DEFAULT_LEMMAS
+        from wordloom.sources import delimited as D
+        rows = D.good(D.read_key_text(spark, a.input))
+        D.write_key_lines(rows.withColumn("clean", clean_text(F.col("text"), DEFAULT_LEMMAS)), a.output)
+        print(f"wrote {a.output}")
+    elif a.cmd == "fpgrowth":
+        from wordloom.operators.patterns import frequent_itemsets
+        from wordloom.sources import delimited as D
+        fi = frequent_itemsets(D.read_transactions(spark, a.input), "items", a.min_support, a.partitions)
+        for r in fi.orderBy(F.size("items"), "items").toLocalIterator():
+            print("[" + ",".join(r["items"]) + "], " + str(r["freq"]))
     elif a.cmd == "grid":
         sets = []
         for suffix in a.suffix:
