@@ -168,7 +168,7 @@ def q_frequent_itemsets(spark, sf):
     """FP-growth over order baskets; the exact check covers 1- and 2-item sets."""
     # Baskets are written once: FP-growth reads them for item counts and again, lazily, when
     # its item sets are computed (it releases its own cached copy after fit).
-    b, _ = materialize(P.baskets(table(spark, sf, "lineitem"), table(spark, sf, "part")))
+    b = P.baskets(table(spark, sf, "lineitem"), table(spark, sf, "part")).checkpoint(eager=True)
     fi = P.frequent_itemsets(b, "items", FP_SUPPORT)
     return (fi.where(F.size("items") <= 2)
             .select(F.array_join("items", " ").alias("items"), F.size("items").cast("bigint").alias("n_items"), "freq"))
