@@ -44,3 +44,15 @@ def test_flagship_counts_shuffled_once(spark):
     df.collect()
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in p and "ReusedExchange" in p
+
+
+def test_registered_collection_scan_pushes_key_range(spark):
+    import __spark_entry__ as E
+    p = plan_text(E.queries()["collection_scan"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(row_key,src1)" in p and "LessThan(row_key,src10)" in p
+
+
+def test_top_k_limits_before_the_shuffle(spark):
+    import __spark_entry__ as E
+    p = plan_text(E.queries()["similar_topk"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
