@@ -56,3 +56,14 @@ def test_top_k_limits_before_the_shuffle(spark):
     import __spark_entry__ as E
     p = plan_text(E.queries()["similar_topk"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_class_scores_one_shuffle_model_broadcast(spark):
+    """Per-class text scores: tokens meet the (counted, small) model by broadcast and are summed
+    per text with one shuffle."""
+    import __spark_entry__ as E
+    df = E.queries()["wcp_features"](spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in p
+    assert p.count("Exchange hashpartitioning") <= 1
