@@ -2,7 +2,7 @@
 
 For each class (toxic, ordinary) an interpolated Kneser-Ney bigram model over lower-cased words:
 
-    P_c(w | u) = max(n_c(u,w) - d N_c, 0) / n_c(u) + (what that leaves) * P_c(w)
+    P_c(w | u) = max(n_c(u,w) - 4 d N_c, 0) / n_c(u) + (what that leaves) * P_c(w)
     P_c(w)     = max(k_c(w) - d K_c, 0) / K_c      + (what that leaves) * P(w)
     P(w)       = the share of w in the counts that the discount took from both classes
 
@@ -18,7 +18,7 @@ A document's evidence is its mean log-likelihood ratio per word (length-normalis
 have beyond ``STRONG`` for toxic, beyond it for ordinary, and the rest, which mostly tells languages and topics
 apart. A logistic curve on the three, fitted on training rows that the counts did not see, makes the score.
 
-Labels come only from rows whose crc32(doc_id) mod 5 is not 0. Remainders 1 to 3 give the counts, 4 the curve,
+Labels come only from rows whose crc32(doc_id) mod 5 is not 0. Remainders 1 to 3 give the counts (exact copies once), 4 the curve,
 of at most ``MAX_CURVE`` rows, those first in hash order. Null and wordless texts have no evidence: they score the
 toxic share of the curve's rows. With no labels, or one class, everything scores the smoothed toxic share.
 Repeated rows give repeated rows; a document with several labels counts for each; other columns are ignored.
@@ -40,6 +40,8 @@ VOCABULARY = 1 << 18
 MIN_COUNT = 16
 SHARED = 0.05
 STRONG = 1.0
+#: Bigrams are discounted by so many times the share of single words.
+PAIR_DISCOUNT = 4
 THRESHOLD = 0.5
 START = 0x5EED
 TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -141,7 +143,7 @@ def fit_counts(train: DataFrame) -> Model:
     sent = spark.sparkContext.broadcast(words)
     seen = bigram_counts(train, sent)
     kinds = seen.groupBy("y", "w").agg(F.approx_count_distinct("u", 0.03).alias("k")).toArrow()
-    known = seen.where(F.col("u") < (1 << 61)).groupBy("y", "u", "w").agg(F.count("*").alias("n")).where(F.col("n") > bar).toArrow()
+    known = seen.where(F.col("u") < (1 << 61)).groupBy("y", "u", "w").agg(F.count("*").alias("n")).where(F.col("n") > PAIR_DISCOUNT * bar).toArrow()
     k = np.zeros((2, v))
     k[kinds.column("y").to_numpy(), kinds.column("w").to_numpy()] = kinds.column("k").to_numpy()
     # A word outside the vocabulary hardly ever follows the same word twice: each occurrence is a kind of its own.
@@ -156,7 +158,7 @@ def fit_counts(train: DataFrame) -> Model:
     u, w, y = (known.column(c).to_numpy().astype(np.int64) for c in ("u", "w", "y"))
     pairs, place = np.unique(u * v + w, return_inverse=True)
     high, back = np.zeros((2, len(pairs))), np.ones((2, v + 1))
-    high[y, place] = (known.column("n").to_numpy() - share * n_all[y]) / np.maximum(n[y, u], 1)
+    high[y, place] = (known.column("n").to_numpy() - PAIR_DISCOUNT * share * n_all[y]) / np.maximum(n[y, u], 1)
     for c in (0, 1):
         back[c, :v] -= np.bincount(pairs // max(v, 1), high[c], v)
     return Model(words, low, pairs, high, np.clip(back, 1e-9, 1), float((n_all[1] + 1) / (n_all.sum() + 2)))
@@ -201,7 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_curve: int = MAX_CURVE) -> Model
     rest = fold("doc_id", HELD_OUT[0])
     marked = labels.where((rest != HELD_OUT[1]) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("y"))
     docs = docs.select("doc_id", "text")
-    model = fit_counts(docs.join(marked.where(rest != CURVE), "doc_id").select("text", "y"))
+    train = docs.join(marked.where(rest != CURVE), "doc_id").select("text", "y", F.xxhash64("text").alias("same"))
+    model = fit_counts(train.dropDuplicates(["y", "same"]).select("text", "y").checkpoint())
     sample = marked.where(rest == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_curve)
     got = evidence(docs.join(F.broadcast(sample), "doc_id"), model, ["y"], "y int").toArrow()
     e = np.array([got.column(c).to_pylist() for c in PARTS], float).reshape(len(PARTS), -1).T
