@@ -151,16 +151,21 @@ def scan(docs: DataFrame, model: list[float]) -> DataFrame:
     return src.withColumn("spans", all_spans(F.col("text"), F.col("base"), model))
 
 
-def redact(found: DataFrame) -> Column:
+def masked(text: Column, spans: Column) -> Column:
     """The text with each run of overlapping spans replaced by ``MASK``."""
-    def merged(spans: Column) -> Column:
-        # A span opens a run if no earlier one reaches beyond its start.
-        def step(acc, s):
-            return F.struct(F.concat(acc["out"], F.when(s["start"] >= acc["end"], F.concat(F.substring(F.col("text"), acc["end"] + 1, s["start"] - acc["end"]), F.lit(MASK)))
-                                     .otherwise(F.lit(""))).alias("out"), F.greatest(acc["end"], s["end"]).alias("end"))
-        return F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("end")), step,
-                           lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["end"] + 1, F.length("text"))))
-    return F.when(F.size("spans") == 0, F.col("text")).otherwise(merged(F.col("spans")))
+    def step(acc, s):  # a span opens a run unless an earlier one reaches beyond its start
+        gap = F.concat(F.substring(text, acc["end"] + 1, s["start"] - acc["end"]), F.lit(MASK))
+        return F.struct(F.concat(acc["out"], F.when(s["start"] >= acc["end"], gap).otherwise(F.lit(""))).alias("out"), F.greatest(acc["end"], s["end"]).alias("end"))
+
+    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("end")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["end"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(done)
+
+
+def redact(docs: DataFrame, model: list[float]) -> DataFrame:
+    """The rows of ``docs`` with all secrets masked. ``n_chars``, if there is such a column, is counted anew."""
+    found = scan(docs, model).select("doc_id", masked(F.col("text"), F.col("spans")).alias("text"), "rest")
+    column = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(*[column.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 @register("op3_secrets")

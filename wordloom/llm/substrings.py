@@ -311,6 +311,22 @@ def without(data: bytes, spans: list[dict]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
+def cut(docs: DataFrame, keep: str = "first") -> DataFrame:
+    """The rows of ``docs`` with the repeated bytes taken out of their texts; what is left of a character that loses
+    some of its bytes goes too. ``n_chars``, if there is such a column, is counted anew."""
+    found = repeated_spans(docs, keep)
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        left = [without(t, x).decode("utf-8", "ignore") if x else t.decode() for t, x in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), strict=True)]
+        return {"doc_id": batch.column("doc_id"), "left": [t if given else None for t, given in zip(left, batch.column("text").is_valid().to_pylist(), strict=True)],
+                "rest": batch.column("rest")}
+
+    kind = dict(found.dtypes)
+    out = map_slices(found, lambda: rows, f"doc_id {kind['doc_id']}, left string, rest {kind['rest']}")
+    column = {"doc_id": F.col("doc_id"), "text": F.col("left"), "n_chars": F.length("left").cast("long")}
+    return out.select(*[column.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
+
+
 @register("op10_suffix_dedup")
 def q_suffix_dedup(spark, sf_dir):
     def rows(batch: pa.RecordBatch) -> dict:
