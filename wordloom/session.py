@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would: functions that run in
+    Python workers are found by name there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wordloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="wordloom-py-"), "wordloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("wordloom", os.path.relpath(full, root)))
+    sc.addPyFile(out)
+    sc._wordloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder (never a machine-local tmp)."""
     base = ensure_checkpoint_dir(spark)
