@@ -10,13 +10,15 @@ process ends as soon as its next arrival is later than all registers (early term
 register with probability J_P.
 
 **Bands.** Documents that agree in all ``ROWS`` registers of one of ``BANDS`` bands are candidates. At 0.8 a pair
-is missed with probability (1 - 0.8^5)^24 = 7e-5.
+is missed with probability (1 - 0.8^5)^32 = 3e-6.
 
 **Verification** computes J_P exactly on the shingles of candidate pairs and keeps those of ``SIMILAR`` or more. Exact
-copies are one representative from the start. First each document is held against one leader, the smallest document
-of the bucket that it shares most bands with; the links make components. What is left are pairs of one bucket in
-different components, all of which are verified in turn; pairs inside a component change nothing. So a large
-group of copies costs a row a member and bucket, not a row a pair.
+copies are one representative from the start. First each document is held against one leader, of the buckets'
+most connected documents the one that it shares most bands with; the links make components. Buckets that still
+hold several components are joined into clusters, and in each cluster all documents outside its largest
+component are held against all others, in blocks of ``BLOCK`` documents: a task gets two blocks and returns the links
+that join components, never all pairs. So a large group of copies costs a row a member and bucket, and its
+stragglers a block each.
 
 Null texts and texts without a word resemble nothing and are classes of their own. Ties go to the smaller id. Rows
 that repeat an id are one document. An empty table gives an empty result. Other columns are ignored.
@@ -35,8 +37,9 @@ from wordloom.llm.components import components
 
 WIDTH = 5
 SIMILAR = 0.8
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
+BLOCK = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -127,9 +130,8 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_slices(docs.select("doc_id", "text"), setup, "doc_id long, same binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose texts have J_P >= SIMILAR, with it."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, h, c): the weighted shingles of the wanted documents, as bytes."""
 
     def setup():
         hashes = WordHash()
@@ -139,8 +141,14 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             return {"doc_id": batch.column("doc_id"), "h": [h.tobytes() for h, _ in sets], "c": [c.astype(np.uint32).tobytes() for _, c in sets]}
         return rows
 
-    sets = map_slices(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), setup, "doc_id long, h binary, c binary")
-    both = (pairs.join(sets.toDF("b", "hb", "cb"), "b").join(sets.toDF("a", "ha", "ca"), "a"))
+    return map_slices(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), setup, "doc_id long, h binary, c binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose texts have J_P >= SIMILAR, with it."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = shingle_sets(docs, wanted)
+    both = pairs.join(sets.toDF("b", "hb", "cb"), "b").join(sets.toDF("a", "ha", "ca"), "a")
 
     def compare(batch: pa.RecordBatch) -> dict:
         cols = [[np.frombuffer(x, kind) for x in batch.column(c).to_pylist()] for c, kind in (("ha", np.uint64), ("ca", np.uint32), ("hb", np.uint64), ("cb", np.uint32))]
@@ -150,29 +158,93 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return found.where(F.col("similarity") >= SIMILAR - 1e-9)
 
 
+def joining_links(nodes: list[int], roots: list[int], sets: list[tuple[np.ndarray, np.ndarray]], probes: list[int]) -> list[tuple[int, int]]:
+    """Links of SIMILAR or more between each probe (a place in ``nodes``) and the other nodes, of other components
+    (``roots``), as far as they join components that no earlier link has joined.
+
+    J_P is at most the share of either text's weight that lies in common shingles, so pairs below that are
+    passed over. Common weights come from one sorted list of all shingles and their owners."""
+    owner = np.repeat(np.arange(len(nodes)), [len(h) for h, _ in sets])
+    share = np.concatenate([c / c.sum() for _, c in sets])
+    every = np.concatenate([h for h, _ in sets])
+    order = np.argsort(every, kind="stable")
+    every, owner, share = every[order], owner[order], share[order]
+    parent = {r: r for r in roots}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a in probes:
+        h, c = sets[a]
+        begin, end = np.searchsorted(every, h, "left"), np.searchsorted(every, h, "right")
+        n = end - begin
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        mine = np.bincount(owner[at], np.repeat(c / c.sum(), n), len(nodes))
+        theirs = np.bincount(owner[at], share[at], len(nodes))
+        near = np.flatnonzero(np.minimum(mine, theirs) >= SIMILAR - 1e-6)
+        for b in near[np.argsort(-mine[near], kind="stable")].tolist():
+            x, y = top(roots[a]), top(roots[b])
+            if x != y and probability_jaccard(h, c, *sets[b]) >= SIMILAR - 1e-9:
+                parent[max(x, y)] = min(x, y)
+                out.append((nodes[a], nodes[b]))
+    return out
+
+
+def between_components(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join components, among ``members(band, rep, root)`` of buckets with several of them."""
+    lead = members.groupBy("band").agg(F.min("rep").alias("b"))
+    clusters = components(members.join(lead, "band").select(F.col("rep").alias("a"), "b"))
+    nodes = members.select("rep", "root").distinct().join(clusters.toDF("rep", "cluster"), "rep").checkpoint()
+    sizes = nodes.groupBy("cluster", "root").count()
+    largest = sizes.groupBy("cluster").agg(F.max(F.struct("count", "root")).alias("x"), F.sum("count").alias("all"))
+    largest = largest.select("cluster", F.col("x.root").alias("main"), F.ceil(F.col("x.count") / BLOCK).cast("int").alias("main_blocks"),
+                             F.ceil((F.col("all") - F.col("x.count")) / BLOCK).cast("int").alias("blocks"))
+    nodes = nodes.join(largest, "cluster").withColumn("probe", F.col("root") != F.col("main"))
+    block = F.pmod(F.xxhash64("rep"), F.when(F.col("probe"), F.col("blocks")).otherwise(F.col("main_blocks"))).cast("int")
+    # Meetings (i, j): block i of probes with block j, which counts probes first, then the main component. A probe
+    # block meets itself in (i, i); a main block is all ears.
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    nodes = nodes.withColumn("block", block).withColumn("meets", F.when(F.col("probe"), F.transform(
+        upto(F.col("blocks") + F.col("main_blocks")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))).otherwise(
+        F.transform(upto(F.col("blocks")), lambda i: F.struct(i.alias("i"), (F.col("blocks") + F.col("block")).alias("j")))))
+    sets = shingle_sets(docs, nodes.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    dealt = nodes.select("cluster", "rep", "root", "probe", "block", F.explode("meets").alias("m"))
+    dealt = dealt.select("cluster", "rep", "root", (F.col("probe") & (F.col("block") == F.col("m.i"))).alias("probe"), "m.i", "m.j").join(sets, "rep")
+
+    def solve(t: pa.Table) -> pa.Table:
+        t = t.sort_by("rep")
+        c = {n: t.column(n).to_pylist() for n in ("rep", "root", "probe", "h", "c")}
+        sets = [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32)) for h, w in zip(c["h"], c["c"], strict=True)]
+        got = joining_links(c["rep"], c["root"], sets, [k for k, p in enumerate(c["probe"]) if p])
+        return pa.table([pa.array([x[i] for x in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(solve, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, is_copy): class_id is the smallest id of the document's class."""
     sketches = sketch(docs).checkpoint()
     texts = sketches.groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
     rows = texts.select("rep", F.explode("bands").alias("band")).checkpoint()
-    shared = rows.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
+    shared = rows.groupBy("band").count().where("count > 1")
     rows = rows.join(shared, "band").checkpoint()  # only documents with company in a bucket are left
 
-    led = rows.where(F.col("rep") != F.col("leader")).groupBy("rep", "leader").count()
-    best = led.groupBy("rep").agg(F.max(F.struct("count", -F.col("leader"))).alias("x")).select((-F.col("x.col2")).alias("a"), F.col("rep").alias("b"))
+    # A bucket's leader is its member with the most company in all its buckets.
+    company = rows.groupBy("rep").agg(F.sum("count").alias("company"))
+    leaders = rows.join(company, "rep").groupBy("band").agg(F.max(F.struct("company", (-F.col("rep")).alias("low"))).alias("x")).select("band", (-F.col("x.low")).alias("leader"))
+    led = rows.join(leaders, "band").where(F.col("rep") != F.col("leader")).groupBy("rep", "leader").agg(F.count("*").alias("n"))
+    best = led.groupBy("rep").agg(F.max(F.struct("n", (-F.col("leader")).alias("low"))).alias("x")).select((-F.col("x.low")).alias("a"), F.col("rep").alias("b"))
     links = verified(best.checkpoint(), docs).select("a", "b").checkpoint()
     roots = components(links)
 
-    # Buckets that still hold several components, and the pairs across them.
     members = rows.select("band", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
     members = members.join(mixed, "band", "left_semi").checkpoint()
-    other = members.select("band", F.col("rep").alias("b"), F.col("root").alias("root_b"))
-    across = members.select("band", F.col("rep").alias("a"), F.col("root").alias("root_a")).join(other, "band")
-    across = across.where((F.col("root_a") < F.col("root_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = across.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = verified(across.checkpoint(), docs).select("a", "b")
-    roots = components(links.unionByName(more))
+    roots = components(links.unionByName(between_components(members, docs)))
 
     reps = sketches.select("doc_id", "same").join(texts.select("same", "rep"), "same")
     out = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
