@@ -17,7 +17,7 @@ smaller and larger positions before and after in suffix order, and the common pr
 each window the longest previous factor, and likewise the longest next one; a window is repeated if either spans
 it. The anchor's own bytes are equal throughout a group and count as one symbol.
 
-**Common anchors.** A group of more than ``GROUP`` different surroundings is not brought into one task: its windows are
+**Common anchors.** A group of more than ``GROUP`` different surroundings (2 MB at most) is not brought into one task: its windows are
 hashed one by one and counted in an aggregation, which combines before it shuffles.
 
 Null texts are empty; texts shorter than ``LENGTH`` have no window and lose nothing. Rows that repeat id and text are
@@ -38,7 +38,7 @@ from wordloom.llm.base import map_slices, mix, register, table, utf8
 
 LENGTH = 400
 GRAM = 200
-GROUP = 512
+GROUP = 4096
 #: Bytes of surroundings that a task puts in suffix order at a time.
 CHUNK = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -90,14 +90,14 @@ def anchors(data: bytes, powers: Powers, length: int = LENGTH, gram: int = GRAM)
 def suffix_ranks(symbols: np.ndarray, depth: int) -> list[np.ndarray]:
     """Prefix doubling: the k-th array ranks all suffixes by their first 2^k symbols, the last by ``depth``.
     Past the end lie symbols smaller than all others."""
-    ranks = [np.unique(symbols, return_inverse=True)[1].astype(np.int64)]
+    ranks = [np.unique(symbols, return_inverse=True)[1].astype(np.int32)]
     have, n = 1, len(symbols)
     while have < depth:
         step = min(have, depth - have)
         r = ranks[-1]
         then = np.zeros(n, np.int64)
         then[:n - step] = r[step:] + 1
-        ranks.append(np.unique(r * (n + 1) + then, return_inverse=True)[1].astype(np.int64))
+        ranks.append(np.unique(r.astype(np.int64) * (n + 1) + then, return_inverse=True)[1].astype(np.int32))
         have += step
     return ranks
 
