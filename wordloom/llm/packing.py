@@ -122,9 +122,9 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 
 
 def best_fit(lengths: np.ndarray, items, bins: list[list[int]], room: list[int], size: int) -> None:
-    """Put each item, longest first, into the sequence with the least room that takes it."""
+    """Put the items, in the order given, into the sequence with the least room that takes each."""
     free = sorted((r, b) for b, r in enumerate(room) if r > 0)
-    for i in sorted(items, key=lambda i: (-lengths[i], i)):
+    for i in items:
         need = int(lengths[i])
         at = bisect_left(free, (need, -1))
         if at < len(free):
@@ -139,6 +139,10 @@ def best_fit(lengths: np.ndarray, items, bins: list[list[int]], room: list[int],
             insort(free, (room[b], b))
 
 
+def longest_first(lengths: np.ndarray, items) -> list[int]:
+    return sorted(items, key=lambda i: (-lengths[i], i))
+
+
 def grouped(which: np.ndarray) -> list[list[int]]:
     """Sequences as lists of items, from the number of each item's sequence."""
     order = np.argsort(which, kind="stable")
@@ -176,12 +180,12 @@ def crossover(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, size: int, rng)
         else:
             whole.append(x)
     bins = whole + injected
-    best_fit(lengths, displaced, bins, [size - int(lengths[x].sum()) for x in bins], size)
+    best_fit(lengths, longest_first(lengths, displaced), bins, [size - int(lengths[x].sum()) for x in bins], size)
     return numbered(bins, len(a))
 
 
 def mutate(a: np.ndarray, lengths: np.ndarray, size: int, rng) -> np.ndarray:
-    """Dissolve the emptiest sequence and a few others at random, and best-fit their pieces."""
+    """Dissolve the emptiest sequence and a few others at random, and best-fit their pieces in random order."""
     bins = grouped(a)
     fill = np.array([lengths[x].sum() for x in bins])
     out = {int(fill.argmin()), *rng.choice(len(bins), min(len(bins), 3), replace=False).tolist()}
@@ -196,7 +200,7 @@ def evolve(lengths: np.ndarray, start: list[np.ndarray], size: int, seed: int, g
     """The best individual after some generations, the given ones among the first."""
     least, rng, n = -(-int(lengths.sum()) // size), np.random.default_rng(seed), len(lengths)
     first: list[list[int]] = []
-    best_fit(lengths, range(n), first, [], size)
+    best_fit(lengths, longest_first(lengths, range(n)), first, [], size)
     people = sorted([*start, numbered(first, n)], key=lambda x: fitness(x, lengths, size), reverse=True)
     for g in range(generations):
         if -fitness(people[0], lengths, size)[0] <= least:
