@@ -5,7 +5,8 @@
 **Models.** Two first-order Markov models over the characters of ``ALPHABET``, one of random strings and one of ordinary
 identifiers, are estimated from labelled samples: strings that the patterns caught (label 1) and long words of
 letters (label 0), from at most ``MAX_SAMPLE`` documents, those first in hash order of the id; that bound is the only
-sample. Random strings are smoothed by one draw of each character, identifiers by half a one. A token (a run of
+sample. A transition backs off to how common its second character is, with the weight of ``BACKOFF`` draws; that is
+smoothed by one draw of each character in random strings, half a one in identifiers. A token (a run of
 ``ALPHABET`` of 16 characters or more, with a letter, outside the patterns' spans) is a secret if its
 log-likelihood ratio is at least ``MIN_RATIO`` in all and ``MIN_EACH`` for each pair of characters; kind ``markov``.
 
@@ -39,6 +40,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 MAX_SAMPLE = 20_000
 MIN_RATIO = 20.0
 MIN_EACH = 0.75
+BACKOFF = 10.0
 MASK = "[SECRET]"
 #: Prefix sums run in blocks of so many matches.
 BLOCK = 256
@@ -115,12 +117,16 @@ def fit(labelled: DataFrame) -> list[float]:
         F.sequence(F.lit(1), F.greatest(F.length("token") - 1, F.lit(1))), lambda i: F.substring("token", i, F.lit(2)))).alias("pair"))
     code = F.instr(F.lit(ALPHABET), F.substring("pair", 1, 1)) * (n + 1) + F.instr(F.lit(ALPHABET), F.substring("pair", 2, 1))
     counts = pairs.where(F.length("pair") == 2).groupBy("label", code.alias("code")).agg(F.sum("count").alias("n")).collect()
-    table_ = [[[0.5 + 0.5 * label] * n for _ in range(n)] for label in (0, 1)]
+    seen = [[[0.0] * n for _ in range(n)] for _ in (0, 1)]
     for r in counts:
         c, d = divmod(r["code"], n + 1)
         if c and d:
-            table_[r["label"]][c - 1][d - 1] += r["n"]
-    logs = [[[math.log(x / sum(row)) for x in row] for row in t] for t in table_]
+            seen[r["label"]][c - 1][d - 1] += r["n"]
+    logs = []
+    for label, rows in enumerate(seen):
+        start = 0.5 + 0.5 * label
+        each = [sum(row[d] for row in rows) + start for d in range(n)]
+        logs.append([[math.log((x + BACKOFF * each[d] / sum(each)) / (sum(row) + BACKOFF)) for d, x in enumerate(row)] for row in rows])
     return [logs[1][c][d] - logs[0][c][d] for c in range(n) for d in range(n)]
 
 
