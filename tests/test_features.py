@@ -31,7 +31,9 @@ def test_hash_tf_counts_all_tokens(spark):
 
 def test_pad(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0] * 80,)], "f array<double>")
-    rows = FT.pad_features(df, "f", 5).collect()
+    with pytest.raises(Exception, match="longer than 5"):
+        FT.pad_features(df, "f", 5).collect()
+    rows = FT.pad_features(df, "f", 5, over="null").collect()
     assert rows[0]["f"] == [1.0, 2.0, 0.0, 0.0, 0.0] and rows[1]["f"] is None
     assert FT.pad_features(df, "f", 5, over="truncate").collect()[1]["f"] == [1.0] * 5
 
@@ -104,3 +106,9 @@ def test_argmax_label_lowest_class_on_ties(spark):
                                "doc_id int, label string, score double")
     got = {r["doc_id"]: (r["prediction"], r["best_score"]) for r in FT.argmax_label(df).collect()}
     assert got == {1: ("a", 2.0), 2: ("c", 5.0)}
+
+
+def test_baskets_keep_items_with_spaces(spark):
+    li = spark.createDataFrame([(1, 10, 2), (1, 11, 1)], "l_orderkey int, l_partkey int, l_linenumber int")
+    pt = spark.createDataFrame([(10, "Brand A"), (11, "B")], "p_partkey int, p_brand string")
+    assert P.baskets(li, pt).collect()[0]["items"] == ["B", "Brand A"]

@@ -71,3 +71,33 @@ def test_registered_model_queries_run(spark):
     q = E.queries()
     for name in ["lr_predict_tfidf", "experiment_single", "model_roundtrip"]:
         assert q[name](spark, SF_SMALL).count() > 0
+
+
+@pytest.mark.parametrize("classes", [2, 10])
+def test_pivot_rows_give_the_models_own_predictions(spark, classes):
+    from pyspark.ml.functions import array_to_vector
+    from wordloom.operators import scoring
+    e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").where(F.col("label") < classes)
+    e = e.select("vec_id", F.col("label").cast("double").alias("label"), F.col("embedding").cast("array<double>").alias("f"))
+    model = MD.logistic().fit(e.withColumn("features", array_to_vector("f")))
+    own = model.transform(e.withColumn("features", array_to_vector("f"))).select("vec_id", "prediction")
+    got = scoring.legacy_scores(e, MD.pivot_rows(model), "f").select("vec_id", F.col("prediction").alias("raw"))
+    assert got.join(own, "vec_id").where(F.col("raw") != F.col("prediction")).count() == 0
+
+
+def test_load_or_fit_refits_only_when_absent(spark, tmp_dir):
+    from pyspark.ml import Pipeline
+    import os
+    path, df = tmp_dir + "/model", spark.createDataFrame([(0, "a b")], "label int, words string")
+    fits = []
+
+    def fit():
+        fits.append(1)
+        return Pipeline(stages=MD.tfidf_stages()).fit(df)
+    MD.load_or_fit(path, fit)
+    MD.load_or_fit(path, fit)
+    assert len(fits) == 1
+    os.makedirs(tmp_dir + "/broken")
+    with pytest.raises(Exception):
+        MD.load_or_fit(tmp_dir + "/broken", fit)
+    assert len(fits) == 1

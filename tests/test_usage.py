@@ -20,7 +20,7 @@ def test_readme_file_to_metrics(spark, tmp_dir):
     recs = word_records(recs, label="label", id_col="id")
     train, test = recs.where(split_column() == "train"), recs.where(split_column() == "test")
     model = Pipeline(stages=models.tfidf_stages() + [models.logistic()]).fit(train)
-    rows = model.stages[-1].coefficientMatrix.toArray().tolist()
+    rows = models.pivot_rows(model.stages[-1])
     scored = scoring.legacy_scores(model.transform(test).withColumn("f", vector_to_array("features")), rows, "f")
     m = metrics.overall(scored.select("label", F.col("final").alias("prediction"))).first()
     assert m["n_rows"] == test.count() > 0

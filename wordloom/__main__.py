@@ -49,12 +49,12 @@ def _run(train: DataFrame, test: DataFrame, features: str) -> list:
 
 
 def _print_sets(sets: list[list[list]]) -> None:
-    print("###Per set ###")
+    print("Results by set")
     for one in sets:
         print(HEADER)
         for m in one:
             print(",".join(str(v) for v in m))
-    print("## ALL ##")
+    print("Results over all sets")
     print(HEADER)
     for one in sets:
         for m in one:
@@ -68,11 +68,10 @@ def _stats(train: DataFrame, test: DataFrame) -> None:
     r = stats.corpus_stats(train, test, "raw_label").first()
     print(f"train rows {r['train_rows']}, test rows {r['test_rows']}, classes {r['num_classes']}, "
           f"smallest class {r['min_class_size']} (x{r['n_min_classes']}), largest class {r['max_class_size']}")
-    print("Histogram begin")
+    print("Class size, number of classes:")
     hist = stats.class_size_histogram(spark, train.unionByName(test), "raw_label")
     for row in hist.orderBy("class_size").toLocalIterator():
         print(f"{row['class_size']}\t{row['n_classes']}")
-    print("the stats have been generated")
 
 
 def _reject(spark: SparkSession, train_path: str, test_path: str, delim: str, threshold: float) -> None:
@@ -91,12 +90,12 @@ def _reject(spark: SparkSession, train_path: str, test_path: str, delim: str, th
     train, test = load(train_path, "train"), load(test_path, "test")
     w2v = models.fit_word2vec(train)
     lr = models.logistic().fit(models.w2v_features(w2v, train))
-    rows = lr.coefficientMatrix.toArray().tolist()
+    rows = models.pivot_rows(lr)
     feats = models.w2v_features(w2v, test).withColumn("f", vector_to_array("features"))
     scored = scoring.legacy_scores(feats, rows, "f", threshold).persist()
     print(f"confident errors: {scoring.confident_errors(scored, threshold=threshold).count()}")
     print(f"unsure hits: {scoring.unsure_hits(scored, threshold=threshold).count()}")
-    print(f"Zero class count =  {scoring.zero_class_count(scored).first()['n_zero']}")
+    print(f"records of class 0: {scoring.zero_class_count(scored).first()['n_zero']}")
     pred = scored.select("label", F.col("final").alias("prediction"))
     for r in metrics.per_class(pred).orderBy("label").toLocalIterator():
         print(f"Class:{r['label']} F1 Score:{r['f1']} True Positive:{r['tpr']} False Positive:{r['fpr']} "

@@ -37,11 +37,11 @@ def cosine(a, b) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
-def pad(a, length: int, over: str = "null") -> Column:
+def pad(a, length: int, over: str = "error") -> Column:
     """zero-pad a double array to ``length``.
 
-    Over-length rule (the original indexes past the end and fails): ``"null"`` gives NULL,
-    ``"truncate"`` keeps the first ``length`` values, ``"error"`` raises.
+    Over-length rule: ``"error"`` raises (as the original, which indexes past the end, fails),
+    ``"null"`` gives NULL, ``"truncate"`` keeps the first ``length`` values.
     """
     a = col_(a)
     padded = F.slice(F.concat(a, F.array_repeat(F.lit(0.0), F.lit(length))), 1, length)

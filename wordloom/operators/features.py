@@ -105,7 +105,7 @@ def join_features(features: DataFrame, records: DataFrame, id_col: str = "doc_id
     return features.join(records.where(F.col(label).isNotNull()), id_col)
 
 
-def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str = "null") -> DataFrame:
+def pad_features(df: DataFrame, col: str, length: int = K.PAD_LENGTH, over: str = "error") -> DataFrame:
     """zero-padded double array of fixed length (see :func:`wordloom.functions.vectors.pad`)."""
     return df.withColumn(col, pad(as_double_array(col), length, over))
 

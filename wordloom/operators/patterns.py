@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from wordloom import constants as K
 from wordloom.operators.common import MAX_BROADCAST_ROWS, has_at_most, maybe_broadcast
-from wordloom.sources.delimited import parse_transaction
 
 
 def baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -17,7 +16,6 @@ def baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
     Brands are first reduced per (order, brand), so a huge order is spread over brand keys
     and the per-order list is bounded by the number of distinct brands, never by its lines.
-    The list is then rendered as a transaction line and parsed by the S5 parser.
     """
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
     pt = part.select("p_partkey", "p_brand")
@@ -25,8 +23,7 @@ def baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
               .groupBy("l_orderkey", "p_brand").agg(F.min("l_linenumber").alias("first_line")))
     per_order = firsts.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct("first_line", "p_brand"))).alias("s"))
-    line = F.concat(F.lit(" "), F.array_join(F.transform("s", lambda x: x["p_brand"]), " "), F.lit(" "))
-    return per_order.select("l_orderkey", parse_transaction(line).alias("items"))
+    return per_order.select("l_orderkey", F.transform("s", lambda x: x["p_brand"]).alias("items"))
 
 
 def frequent_itemsets(transactions: DataFrame, items: str = "items", min_support: float = K.FP_MIN_SUPPORT,

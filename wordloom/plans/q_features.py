@@ -154,24 +154,24 @@ def q_wcp_features(spark, sf):
 
 
 @register("frequent_itemsets", f"""
-WITH b AS (SELECT DISTINCT l.l_orderkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-n AS (SELECT count(DISTINCT l_orderkey) AS n FROM b),
-mc AS (SELECT ceil(CAST({FP_SUPPORT} AS DOUBLE) * n) AS mc FROM n),
-one AS (SELECT p_brand AS items, count(*) AS freq FROM b GROUP BY 1),
-two AS (SELECT b1.p_brand || ' ' || b2.p_brand AS items, count(*) AS freq
-        FROM b b1 JOIN b b2 ON b1.l_orderkey = b2.l_orderkey AND b1.p_brand < b2.p_brand GROUP BY 1)
-SELECT items, CAST(1 AS BIGINT) AS n_items, freq FROM one WHERE freq >= (SELECT mc FROM mc)
-UNION ALL
-SELECT items, CAST(2 AS BIGINT) AS n_items, freq FROM two WHERE freq >= (SELECT mc FROM mc)
+WITH RECURSIVE b AS (SELECT DISTINCT l.l_orderkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+mc AS (SELECT ceil(CAST({FP_SUPPORT} AS DOUBLE) * count(DISTINCT l_orderkey)) AS mc FROM b),
+s AS (
+  SELECT l_orderkey, p_brand AS items, p_brand AS last, 1 AS n FROM b
+  QUALIFY count(*) OVER (PARTITION BY p_brand) >= (SELECT mc FROM mc)
+  UNION ALL
+  SELECT s.l_orderkey, s.items || ' ' || b.p_brand, b.p_brand, s.n + 1
+  FROM s JOIN b ON b.l_orderkey = s.l_orderkey AND b.p_brand > s.last
+  QUALIFY count(*) OVER (PARTITION BY s.items || ' ' || b.p_brand) >= (SELECT mc FROM mc))
+SELECT items, CAST(n AS BIGINT) AS n_items, count(*) AS freq FROM s GROUP BY 1, 2
 """)
 def q_frequent_itemsets(spark, sf):
-    """FP-growth over order baskets; the exact check covers 1- and 2-item sets."""
+    """FP-growth over order baskets; item sets of every size."""
     # Baskets are written once: FP-growth reads them for item counts and again, lazily, when
     # its item sets are computed (it releases its own cached copy after fit).
     b = P.baskets(table(spark, sf, "lineitem"), table(spark, sf, "part")).checkpoint(eager=True)
     fi = P.frequent_itemsets(b, "items", FP_SUPPORT)
-    return (fi.where(F.size("items") <= 2)
-            .select(F.array_join("items", " ").alias("items"), F.size("items").cast("bigint").alias("n_items"), "freq"))
+    return fi.select(F.array_join("items", " ").alias("items"), F.size("items").cast("bigint").alias("n_items"), "freq")
 
 
 _pat_sql = ", ".join(f"({i}, {S.lit(w)})" for i, p in enumerate(PATTERNS) for w in p)

@@ -46,13 +46,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system path and is only read here. Only
-    when it is unset (tests, local runs) a fresh local folder is made and set.
+    On a cluster this setting names a shared file system path and is only read here; it must be
+    set there. Only a local master without it (tests, local runs) gets a fresh local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="wordloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -79,7 +81,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared checkpoint folder (never a machine-local tmp)."""
+    """A new, unique path under the checkpoint folder (see :func:`ensure_checkpoint_dir`)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
