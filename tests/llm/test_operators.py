@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wordloom.llm import bpe, compression, language, near_dup, packing, permutation_index, quality, secrets, substrings, toxicity
-from wordloom.llm.base import repeated_windows
+from wordloom.llm.base import join_hot, repeated_windows
 from wordloom.llm.catalog import QUERIES
 from wordloom.llm.components import components
 
@@ -329,3 +329,14 @@ def test_odd_and_empty_tables(spark, odd):
 
 def test_queries_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_hot_keys_join_once(spark):
+    """A key with half of all rows, one with a few and one without a partner, against the plain join."""
+    many = spark.createDataFrame([(7 if i % 2 else i % 5, i) for i in range(4000)] + [(99, -1), (99, -1)], "k long, v long")
+    one = many.where("k <> 99").groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("least")).checkpoint()
+    got, plain = join_hot(many, one, "k"), many.join(one.drop("n"), "k")
+    assert sorted(map(tuple, got.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    semi = join_hot(many, one, "k", "left_semi")
+    assert semi.columns == ["k", "v"] and semi.count() == 4000
+    assert join_hot(many.limit(0), one.limit(0).checkpoint(), "k").count() == 0

@@ -23,6 +23,10 @@ ORACLE: dict[str, str] = {}
 SLICE = 256
 #: Entries a task's word cache holds before it starts afresh.
 CACHE_WORDS = 200_000
+#: A key is hot if it holds more than one in so many of all rows, so there are fewer hot keys than this.
+HOT_ONE_IN = 1000
+#: Tasks that share the rows of a hot key.
+SALTS = 256
 
 
 def register(name: str, sql: str | None = None):
@@ -65,6 +69,19 @@ def map_slices(df: DataFrame, setup: Callable[[], Callable[[pa.RecordBatch], dic
     return df.mapInArrow(run, struct)
 
 
+def join_hot(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one``, where the rows of a hot key are dealt over ``SALTS`` tasks. ``one`` has a row for each
+    key and in ``n`` how many rows of ``many`` have it; it is read twice, so pass a checkpoint. Keys are not null."""
+    total = one.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(one.where(F.col("n") * HOT_ONE_IN > total).select(key, F.lit(True).alias("_hot")))  # under HOT_ONE_IN rows
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(SALTS)).cast("int")
+    many = many.withColumn("_salt", salt).join(hot, key, "left")
+    many = many.withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    one = one.drop("n").join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return many.join(one, [key, "_salt"], how).drop("_salt")
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null is empty."""
     return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.base import map_slices, mix, register, table, utf8
+from wordloom.llm.base import join_hot, map_slices, mix, register, table, utf8
 
 LENGTH = 400
 GRAM = 200
@@ -271,8 +271,8 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> DataFrame:
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text", (F.struct(*rest) if rest else F.lit(None)).alias("rest"))
 
-    twice = _anchors(keyed, True).groupBy("a").count().where("count > 1").select("a")
-    found = _anchors(keyed, False).join(twice, "a", "left_semi").checkpoint()
+    twice = _anchors(keyed, True).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
+    found = join_hot(_anchors(keyed, False), twice, "a", "left_semi").checkpoint()
     kinds = found.groupBy("a", "u").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "pos", "lo", "hi")).alias("one"))
     kinds = kinds.checkpoint()
     equal = found.join(kinds.where("n > 1").select("a", "u", "one"), ["a", "u"])
