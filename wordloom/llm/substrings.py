@@ -280,8 +280,8 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> DataFrame:
         equal = equal.where((F.col("key") != F.col("one.key")) | (F.col("pos") != F.col("one.pos")))
     equal = equal.select("key", (F.col("pos") - F.col("hi")).cast("long").alias("first"), (F.col("pos") - F.col("lo")).cast("long").alias("last"))
 
-    groups = kinds.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = kinds.join(groups, "a").select("a", "one.*", (F.col("n") == 1).alias("alone"), "kinds").checkpoint()
+    groups = kinds.groupBy("a").agg(F.count("*").alias("n"), F.count("*").alias("kinds")).where("n > 1").checkpoint()
+    wanted = join_hot(kinds, groups, "a").select("a", "one.*", (F.col("n") == 1).alias("alone"), "kinds").checkpoint()
     spans = equal
     for some, solve in ((wanted.where(F.col("kinds") <= GROUP), _by_suffix_order), (wanted.where(F.col("kinds") > GROUP), _by_counting)):
         spans = spans.unionByName(solve(_surroundings(keyed, some.drop("kinds")), first_only))
