@@ -283,6 +283,30 @@ def test_toxicity_held_out(spark):
     assert all((zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) == r["held_out"] for r in got)
 
 
+def brute_counts(rows):
+    """(u, w) -> occurrences in either class, by the words' hashes; the start mark comes before the first word."""
+    n = collections.defaultdict(lambda: [0, 0])
+    hashes = toxicity.WordHash()
+    for text, y in rows:
+        ids = toxicity.word_ids(text.encode(), hashes).view(np.int64).tolist()
+        for pair in zip(ids, ids[1:]):
+            n[pair][y] += 1
+    return n
+
+
+TOXIC_ROWS = [("a b c a b d", 0), ("a b e", 0), ("f b g b", 0), ("f b q", 0), ("a c", 0), ("x b y", 1), ("x b x b z", 1), ("a x", 1)]
+
+
+def test_toxicity_keeps_all_counts(spark):
+    """Every bigram of either class, also those that occur once, with a discount below one occurrence."""
+    model = toxicity.fit_counts(spark.createDataFrame(TOXIC_ROWS, "text string, y int"))
+    n = brute_counts(TOXIC_ROWS)
+    assert {(r["u"], r["w"]): [r["n0"], r["n1"]] for r in model.pairs.collect()} == dict(n)
+    for c in (0, 1):
+        once, twice = (sum(x[c] == i for x in n.values()) for i in (1, 2))
+        assert once and twice and abs(model.d[c] - once / (once + 2 * twice)) < 1e-12
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(4000, 16)).round(2)

@@ -1,22 +1,25 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-For each class (toxic, ordinary) an interpolated Kneser-Ney bigram model over lower-cased words:
+For each class c (toxic, ordinary) an interpolated Kneser-Ney bigram model over lower-cased words:
 
-    P_c(w | u) = max(n_c(u,w) - 4 d N_c, 0) / n_c(u) + (what that leaves) * P_c(w)
-    P_c(w)     = max(k_c(w) - d K_c, 0) / K_c      + (what that leaves) * P(w)
-    P(w)       = the share of w in the counts that the discount took from both classes
+    P_c(w | u) = (max(n_c(u,w) - D_c, 0) + D_c t_c(u) P_c(w)) / n_c(u)
+    P_c(w)     = (max(k_c(w) - E_c, 0) + E_c V_c P(w)) / K_c
+    P(w)       = the share of w in the counts that the discount E took from both classes, and one for each word
 
-and the pooled model of both classes has the weight ``SHARED`` in either, so that a passage copied within one class
-cannot outweigh a whole text. n counts words and bigrams (N_c words in all), k_c(w) the distinct words before w (K_c in all). P is shared by
-the classes: expressions too rare to tell the classes apart fall back to the same counts and are no evidence.
-The discount is the same *share* d of either class, at least ``MIN_COUNT`` occurrences in the smaller one and at
-least 1 / VOCABULARY, so at most VOCABULARY words and as many bigrams of a class outlive it: all training
-rows are counted, and the tables that reach the tasks are bounded whatever the corpus. A bigram that outlives the
-discount is made of words that do, so only these bigrams are counted.
+n counts bigrams, t_c(u) the distinct words after u, k_c(w) the distinct words before w (K_c in all, of V_c words). The
+discounts are absolute, n1 / (n1 + 2 n2) from the numbers of bigrams (D) and of words by k (E) that occur once and
+twice; 1/2 where either is missing. P is shared by the classes, and the pooled model of both classes has the weight ``SHARED``
+in either, so that a passage copied within one class cannot outweigh a whole text.
 
-A document's evidence is its mean log-likelihood ratio per word (length-normalised), in three parts: what single words
-have beyond ``STRONG`` for toxic, beyond it for ordinary, and the rest, which mostly tells languages and topics
-apart. A logistic curve on the three, fitted on training rows that the counts did not see, makes the score.
+All words and bigrams of all training rows are counted, exactly, and stay tables: (u, w), u and w with their counts for
+both classes. Nothing that grows with the corpus reaches the driver or a broadcast. Texts are scored by joins: their
+distinct bigrams with the counts, which gives each its log-likelihood ratio, and then each text's own bigrams with those;
+rows of common words and bigrams are dealt over many tasks (``base.join_hot``). 64-bit hashes stand for words and bigrams.
+
+A document's evidence is its mean log-likelihood ratio per word (length-normalised): of P_c(w), and what P_c(w | u) adds
+to it. Either has three parts: what single words have beyond ``STRONG`` for toxic, beyond it for ordinary, and the rest,
+which mostly tells languages and topics apart. A logistic curve on the six, fitted on training rows that the counts did
+not see, makes the score.
 
 Labels come only from rows whose crc32(doc_id) mod 5 is not 0. Remainders 1 to 3 give the counts (exact copies once), 4 the curve,
 of at most ``MAX_CURVE`` rows, those first in hash order. Null and wordless texts have no evidence: they score the
@@ -26,22 +29,20 @@ Repeated rows give repeated rows; a document with several labels counts for each
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.base import WordHash, fold, map_slices, register, table, utf8
+from wordloom.llm.base import WordHash, fold, join_hot, map_slices, register, table, utf8
 
 HELD_OUT = (5, 0)
 CURVE = 4
 MAX_CURVE = 20_000
-VOCABULARY = 1 << 18
-MIN_COUNT = 16
 SHARED = 0.05
 STRONG = 1.0
-#: Bigrams are discounted by so many times the share of single words.
-PAIR_DISCOUNT = 4
 THRESHOLD = 0.5
 START = 0x5EED
 TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -53,115 +54,85 @@ def word_ids(data: bytes, hashes: WordHash) -> np.ndarray:
     return np.concatenate((np.array([START], np.uint64), hashes.hashes(words)))
 
 
-def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of ``keys`` in ``sorted_keys``; -1 where missing."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    """(y, word, n) over all rows of ``train(text, y)``; the start mark counts as a word."""
+def bigrams(docs: DataFrame, key: str) -> DataFrame:
+    """(key, u, w, m): the distinct bigrams of each text and how often it has them."""
 
     def setup():
         hashes = WordHash()
 
         def rows(batch: pa.RecordBatch) -> dict:
-            y = np.array(batch.column("y").to_pylist(), np.int64)
-            ids = [word_ids(t, hashes) for t in utf8(batch.column("text"))]
             out = []
-            for c in (0, 1):
-                own = [x for x, at in zip(ids, y, strict=True) if at == c]
-                w, n = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, int))
-                out.append((np.full(len(w), c), w.view(np.int64), n))
-            return dict(zip(("y", "word", "n"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+            for text in utf8(batch.column("text")):
+                words, at = np.unique(word_ids(text, hashes), return_inverse=True)
+                pair, m = np.unique(at[:-1] * len(words) + at[1:], return_counts=True)
+                out.append((words[pair // len(words)].view(np.int64), words[pair % len(words)].view(np.int64), m))
+            u, w, m = map(np.concatenate, zip(*out, strict=True))
+            return {key: np.repeat(batch.column(key).to_numpy(), [len(x[0]) for x in out]), "u": u, "w": w, "m": m}
         return rows
 
-    return map_slices(train.select("text", "y"), setup, "y int, word long, n long").groupBy("y", "word").agg(F.sum("n").alias("n"))
-
+    return map_slices(docs.select(key, "text"), setup, f"{key} long, u long, w long, m long")
 
-def bigram_counts(train: DataFrame, vocabulary) -> DataFrame:
-    """(y, u, w, n): u and w are places in the broadcast vocabulary; u is the word's hash (negative places do not
-    occur) where the word before is not in it, so that distinct words before w can be counted."""
 
-    def setup():
-        hashes = WordHash()
-
-        def rows(batch: pa.RecordBatch) -> dict:
-            cols = []
-            for y, text in zip(batch.column("y").to_pylist(), utf8(batch.column("text")), strict=True):
-                ids = word_ids(text, hashes)
-                at = find(vocabulary.value, ids)
-                keep = at[1:] >= 0
-                before = np.where(at[:-1] >= 0, at[:-1], (ids[:-1] | np.uint64(1 << 62)).view(np.int64))[keep]
-                cols.append((np.full(len(before), y), before, at[1:][keep]))
-            y, u, w = map(np.concatenate, zip(*cols, strict=True))
-            return {"y": y, "u": u, "w": w}
-        return rows
+@dataclass
+class Model:
+    """``pairs``: u, w, n0, n1; ``contexts``: u, s0, s1 (its occurrences), t0, t1; ``words``: w, k0, k1; by class: the discounts
+    D and E, K and V; ``kinds``: the words of both; ``toxic``: the toxic share of the training words."""
 
-    return map_slices(train.select("text", "y"), setup, "y int, u long, w int")
+    pairs: DataFrame
+    contexts: DataFrame
+    words: DataFrame
+    d: list[float]
+    e: list[float]
+    k: list[int]
+    v: list[int]
+    kinds: int
+    toxic: float
+    curve: tuple = ([0.0] * 6, 0.0, 0.5)
 
 
-class Model:
-    """``words``: sorted hashes of the vocabulary; ``low[c]``: P_c(w), the last entry for all other words;
-    ``pairs``: sorted u * V + w of the bigrams; ``high[c]``: their discounted share; ``back[c]``: what u leaves; ``toxic``: the toxic share of the
-    training words."""
-
-    def __init__(self, words, low, pairs, high, back, toxic, curve=([0.0] * 3, 0.0, 0.5)):
-        self.words, self.low, self.pairs, self.high, self.back, self.toxic, self.curve = words, low, pairs, high, back, toxic, curve
-
-    def evidence(self, ids: np.ndarray) -> tuple[float, float, float]:
-        """The parts of the mean log-likelihood ratio per word, strong ones as square roots; nan without words."""
-        if len(ids) < 2:
-            return float("nan"), float("nan"), float("nan")
-        at = find(self.words, ids)
-        u, w = at[:-1], at[1:]
-        pair = find(self.pairs, np.where((u >= 0) & (w >= 0), u * len(self.words) + w, -1))
-        p = [np.append(self.high[c], 0)[pair] + self.back[c][u] * self.low[c][w] for c in (0, 1)]  # -1: the last entry
-        both = SHARED / (1 - SHARED) * ((1 - self.toxic) * p[0] + self.toxic * p[1])
-        ratio = np.log((p[1] + both) / (p[0] + both))
-        weak = np.clip(ratio, -STRONG, STRONG)
-        return float(np.sqrt(np.maximum(ratio - weak, 0).mean())), float(np.sqrt(np.maximum(weak - ratio, 0).mean())), float(weak.mean())
+def discounts(counts: DataFrame, columns: list[str]) -> tuple[list[float], list[int], list[int]]:
+    """By class: n1 / (n1 + 2 n2), the sum of the counts, and how many are not 0."""
+    got = counts.agg(*[F.array(*[F.count(F.when(F.col(c) == i, 1)) for i in (1, 2)], F.coalesce(F.sum(c), F.lit(0)), F.count(F.when(F.col(c) > 0, 1))) for c in columns]).first()
+    return [once / (once + 2 * twice) if once and twice else 0.5 for once, twice, _, _ in got], [x[2] for x in got], [x[3] for x in got]
 
 
 def fit_counts(train: DataFrame) -> Model:
-    spark = train.sparkSession
-    counts = word_counts(train).checkpoint()  # 20 bytes for each distinct word of a class
-    total = {r["y"]: r["n"] for r in counts.groupBy("y").agg(F.sum("n").alias("n")).collect()}
-    n_all = np.array([total.get(0, 0), total.get(1, 0)], float)
-    share = max(MIN_COUNT / max(n_all[n_all > 0].min(), 1) if n_all.any() else 1.0, 1 / VOCABULARY)
-    bar = F.when(F.col("y") == 0, F.lit(share * n_all[0])).otherwise(F.lit(share * n_all[1]))
-    frequent = counts.where(F.col("n") > bar).select("word").distinct()
-    got = counts.join(F.broadcast(frequent), "word").toArrow()  # at most 2 x VOCABULARY words, by the bar
-    hashes = got.column("word").to_numpy().view(np.uint64)
-    words = np.unique(hashes)
-    v = len(words)
-    n = np.zeros((2, v))
-    n[got.column("y").to_numpy(), np.searchsorted(words, hashes)] = got.column("n").to_numpy()
-
-    sent = spark.sparkContext.broadcast(words)
-    seen = bigram_counts(train, sent)
-    kinds = seen.groupBy("y", "w").agg(F.approx_count_distinct("u", 0.03).alias("k")).toArrow()
-    known = seen.where(F.col("u") < (1 << 61)).groupBy("y", "u", "w").agg(F.count("*").alias("n")).where(F.col("n") > PAIR_DISCOUNT * bar).toArrow()
-    k = np.zeros((2, v))
-    k[kinds.column("y").to_numpy(), kinds.column("w").to_numpy()] = kinds.column("k").to_numpy()
-    # A word outside the vocabulary hardly ever follows the same word twice: each occurrence is a kind of its own.
-    k_all = np.maximum(k.sum(axis=1) + n_all - n.sum(axis=1), 1)
-
-    # Shared backoff: what the discount takes from either class, pooled; rare words keep all their kinds there.
-    own = np.maximum(k - share * k_all[:, None], 0)
-    shared = np.append((k - own).sum(axis=0) + 1, 1) / (k_all.sum() - own.sum() + VOCABULARY)
-    own /= k_all[:, None]
-    low = np.append(own, np.zeros((2, 1)), axis=1) + (1 - own.sum(axis=1, keepdims=True)) * shared
-
-    u, w, y = (known.column(c).to_numpy().astype(np.int64) for c in ("u", "w", "y"))
-    pairs, place = np.unique(u * v + w, return_inverse=True)
-    high, back = np.zeros((2, len(pairs))), np.ones((2, v + 1))
-    high[y, place] = (known.column("n").to_numpy() - PAIR_DISCOUNT * share * n_all[y]) / np.maximum(n[y, u], 1)
+    of = lambda c: F.sum(F.when(F.col("y") == c, F.col("m")).otherwise(0)).alias(f"n{c}")
+    seen = lambda c: F.count(F.when(F.col(f"n{c}") > 0, 1))
+    pairs = bigrams(train.withColumn("y", F.col("y").cast("long")), "y").groupBy("u", "w").agg(of(0), of(1)).checkpoint()
+    contexts = pairs.groupBy("u").agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), seen(0).alias("t0"), seen(1).alias("t1")).checkpoint()
+    words = pairs.groupBy("w").agg(seen(0).alias("k0"), seen(1).alias("k1")).checkpoint()
+    d, n, _ = discounts(pairs, ["n0", "n1"])
+    e, k, v = discounts(words, ["k0", "k1"])
+    return Model(pairs, contexts, words, d, e, k, v, words.count(), (n[1] + 1) / (sum(n) + 2))
+
+
+def with_counts(needed: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of ``needed``, in how many of its rows (``n``), and their counts, 0 for those without."""
+    sums = [c for c in counts.columns if c not in keys]
+    both = needed.select(*keys, F.lit(1).alias("n"), *[F.lit(0).alias(c) for c in sums]).unionByName(counts.withColumn("n", F.lit(0)))
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *sums)]).where("n > 0")
+
+
+def log_ratio(model: Model, ordinary: Column, toxic: Column) -> Column:
+    both = SHARED / (1 - SHARED) * ((1 - model.toxic) * ordinary + model.toxic * toxic)
+    return F.log((toxic + both) / (ordinary + both))
+
+
+def priced(found: DataFrame, model: Model) -> DataFrame:
+    """For each distinct bigram of ``found``: p (its hash), n (in how many rows it is), and the log-likelihood ratios."""
+    pairs = with_counts(found, model.pairs, ["u", "w"]).withColumnRenamed("n", "rows").checkpoint()
+    contexts = with_counts(pairs, model.contexts, ["u"]).checkpoint()
+    words = with_counts(pairs, model.words, ["w"]).checkpoint()
+    all_ = join_hot(join_hot(pairs, contexts, "u"), words, "w")
+    taken = sum((F.when(F.col(f"k{c}") > 0, model.e[c]).otherwise(0.0) for c in (0, 1)), F.lit(1.0))
+    all_ = all_.withColumn("base", taken / (sum(e * v for e, v in zip(model.e, model.v, strict=True)) + model.kinds + 1))
     for c in (0, 1):
-        back[c, :v] -= np.bincount(pairs // max(v, 1), high[c], v)
-    return Model(words, low, pairs, high, np.clip(back, 1e-9, 1), float((n_all[1] + 1) / (n_all.sum() + 2)))
+        low = (F.greatest(F.col(f"k{c}") - model.e[c], F.lit(0.0)) + model.e[c] * model.v[c] * F.col("base")) / model.k[c] if model.k[c] else F.col("base")
+        high = (F.greatest(F.col(f"n{c}") - model.d[c], F.lit(0.0)) + model.d[c] * F.col(f"t{c}") * F.col(f"low{c}")) / F.col(f"s{c}")
+        all_ = all_.withColumn(f"low{c}", low).withColumn(f"high{c}", F.when(F.col(f"s{c}") > 0, high).otherwise(F.col(f"low{c}")))
+    word, whole = log_ratio(model, F.col("low0"), F.col("low1")), log_ratio(model, F.col("high0"), F.col("high1"))
+    return all_.select(F.xxhash64("u", "w").alias("p"), F.col("rows").alias("n"), word.alias("word"), (whole - word).alias("pair"))
 
 
 def fit_curve(e: np.ndarray, y: np.ndarray) -> tuple[list[float], float, float]:
@@ -181,22 +152,27 @@ def fit_curve(e: np.ndarray, y: np.ndarray) -> tuple[list[float], float, float]:
     return (w[:-1] / spread).tolist(), float(w[-1]), share
 
 
-PARTS = ("toxic_part", "ordinary_part", "weak_part")
-
+SIDES = ("toxic_part", "ordinary_part", "weak_part")
+PARTS = (*SIDES, *(f"pair_{x}" for x in SIDES))
 
-def evidence(docs: DataFrame, model: Model, keep: list[str], schema: str) -> DataFrame:
-    """The kept columns and the parts of the evidence of each text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by VOCABULARY
-
-    def setup():
-        hashes = WordHash()
-
-        def rows(batch: pa.RecordBatch) -> dict:
-            parts = zip(*[sent.value.evidence(word_ids(t, hashes)) for t in utf8(batch.column("text"))], strict=True)
-            return {c: batch.column(c) for c in keep} | dict(zip(PARTS, map(list, parts), strict=True))
-        return rows
 
-    return map_slices(docs.select(*keep, "text"), setup, schema + "".join(f", {c} double" for c in PARTS))
+def evidence(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs`` beside the text, and the parts of the evidence of each row, strong ones as square roots; nan
+    without words."""
+    docs = docs.withColumn("_key", F.xxhash64("doc_id", "text"))  # rows that repeat id and text have the same evidence
+    price = priced(bigrams(docs, "_key"), model).checkpoint()
+    found = bigrams(docs, "_key").select("_key", F.xxhash64("u", "w").alias("p"), F.col("m").cast("int").alias("m"))
+    rows = join_hot(found, price, "p").select("_key", "m", F.col("word").cast("float"), F.col("pair").cast("float"))
+    means = []
+    for c, prefix in (("word", ""), ("pair", "pair_")):
+        r, mean = F.col(c).cast("double"), lambda x: F.sum(F.col("m") * x) / F.sum("m")
+        weak = F.greatest(F.least(r, F.lit(STRONG)), F.lit(-STRONG))
+        parts = F.sqrt(mean(F.greatest(r - weak, F.lit(0.0)))), F.sqrt(mean(F.greatest(weak - r, F.lit(0.0)))), mean(weak)
+        means += [x.alias(prefix + side) for x, side in zip(parts, SIDES, strict=True)]
+    # A text has at most its own bigrams: rows go to its task as they are, smaller than seven sums each.
+    got = rows.repartition("_key").groupBy("_key").agg(*means)
+    nan = [F.coalesce(c, F.lit(float("nan"))).alias(c) for c in PARTS]
+    return docs.drop("text").join(got, "_key", "left").select(*[c for c in docs.columns if c not in ("_key", "text")], *nan)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_curve: int = MAX_CURVE) -> Model:
@@ -206,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_curve: int = MAX_CURVE) -> Model
     train = docs.join(marked.where(rest != CURVE), "doc_id").select("text", "y", F.xxhash64("text").alias("same"))
     model = fit_counts(train.dropDuplicates(["y", "same"]).select("text", "y").checkpoint())
     sample = marked.where(rest == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_curve)
-    got = evidence(docs.join(F.broadcast(sample), "doc_id"), model, ["y"], "y int").toArrow()
+    got = evidence(docs.join(F.broadcast(sample), "doc_id"), model).select("y", *PARTS).toArrow()
     e = np.array([got.column(c).to_pylist() for c in PARTS], float).reshape(len(PARTS), -1).T
     model.curve = fit_curve(e, np.array(got.column("y").to_pylist(), float))
     return model
@@ -216,7 +192,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted and the parts of the evidence."""
     weights, constant, share = model.curve
     src = docs.select("doc_id", (fold("doc_id", HELD_OUT[0]) == HELD_OUT[1]).alias("held_out"), "text")
-    e = evidence(src, model, ["doc_id", "held_out"], "doc_id long, held_out boolean")
+    e = evidence(src, model)
     total = sum((F.lit(w) * F.col(c) for w, c in zip(weights, PARTS, strict=True)), F.lit(constant))
     score = F.when(F.isnan(PARTS[0]), F.lit(share)).otherwise(1 / (1 + F.exp(-total)))
     return e.withColumn("score", score).select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *PARTS)
