@@ -307,6 +307,17 @@ def test_toxicity_keeps_all_counts(spark):
         assert once and twice and abs(model.d[c] - once / (once + 2 * twice)) < 1e-12
 
 
+def test_toxicity_continuation_counts_are_exact(spark):
+    """For every word, rare ones too, the distinct words before it; a predecessor that repeats counts once."""
+    model = toxicity.fit_counts(spark.createDataFrame(TOXIC_ROWS, "text string, y int"))
+    k = collections.defaultdict(lambda: [0, 0])
+    for (_, w), n in brute_counts(TOXIC_ROWS).items():
+        for c in (0, 1):
+            k[w][c] += n[c] > 0
+    assert {r["w"]: [r["k0"], r["k1"]] for r in model.words.collect()} == dict(k)
+    assert model.k == [sum(x[c] for x in k.values()) for c in (0, 1)]
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(4000, 16)).round(2)
