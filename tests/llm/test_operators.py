@@ -212,6 +212,20 @@ def test_repeated_spans_against_brute_force(spark, monkeypatch, keep, group):
     assert [got[i] for i, _ in rows] == brute_spans(rows, keep == "first")
 
 
+@pytest.mark.parametrize("group", [4096, 2])
+def test_repeated_rows_keep_the_first_passage(spark, monkeypatch, group):
+    """Rows that repeat id and text count as one for ``keep="first"``, also where they share a passage with others."""
+    monkeypatch.setattr(substrings, "GROUP", group)
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choice("abcdeé ") for _ in range(6)) for _ in range(n))
+    passage = text(90)
+    rows = [(k, text(50) + passage + text(50)) for k in range(5)]
+    want = dict(zip([i for i, _ in rows], brute_spans(rows, True), strict=True))
+    got = substrings.repeated_spans(frame(spark, rows + [rows[0], rows[0], rows[3]]), "first").collect()
+    assert len(got) == 8 and want[0] == [] and all(want[k] for k in range(1, 5))
+    assert all([s.asDict() for s in r["spans"]] == want[r["doc_id"]] for r in got)
+
+
 def test_cut_keeps_columns_and_characters(spark, odd):
     out = substrings.cut(odd)
     assert out.columns == odd.columns

@@ -211,7 +211,7 @@ def _by_suffix_order(around: DataFrame, first_only: bool) -> DataFrame:
         return out
 
     def run(batches):
-        held, size, last = [], 0, None
+        held, size, last, place = [], 0, None, None
 
         def flush():
             got = solve(held)
@@ -220,6 +220,9 @@ def _by_suffix_order(around: DataFrame, first_only: bool) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 for r in batch.slice(at, 1024).to_pylist():
+                    if place == (r["a"], r["key"], r["pos"]):  # the same place in a row that repeats id and text
+                        continue
+                    place = r["a"], r["key"], r["pos"]
                     if size >= CHUNK and r["a"] != last:  # groups stay whole
                         yield flush()
                         held.clear()
@@ -230,7 +233,7 @@ def _by_suffix_order(around: DataFrame, first_only: bool) -> DataFrame:
         if held:
             yield flush()
 
-    together = around.repartition("a").sortWithinPartitions("a")
+    together = around.repartition("a").sortWithinPartitions("a", "key", "pos")
     return together.select("key", "a", "doc_id", "pos", "lo", "hi", "alone", "left", "right").mapInArrow(run, STARTS)
 
 
