@@ -101,3 +101,19 @@ def test_load_or_fit_refits_only_when_absent(spark, tmp_dir):
     with pytest.raises(Exception):
         MD.load_or_fit(tmp_dir + "/broken", fit)
     assert len(fits) == 1
+
+
+def test_grid_and_report_cover_all_folds(spark, monkeypatch):
+    """Every document is tested once for each feature kind; the fits are left out."""
+    def no_fit(train, test):
+        return MD.RunResult(test.withColumn("prediction", F.col("label").cast("double")), 0.0, 0.0)
+    monkeypatch.setattr(MD, "run_tfidf", no_fit)
+    monkeypatch.setattr(MD, "run_w2v", no_fit)
+    n = QM._records(spark, SF_SMALL).where("label is not null").count()
+    rows = QM.q_experiment_grid(spark, SF_SMALL).collect()
+    cells = {(f, str(k)) for f in ("tfidf", "w2v") for k in range(5)}
+    assert len(rows) == 10 and {(r["feature"], r["suffix"]) for r in rows} == cells
+    assert all(sum(r["n_rows"] for r in rows if r["feature"] == f) == n for f in ("tfidf", "w2v"))
+    report = QM.q_experiment_report(spark, SF_SMALL).collect()
+    for section in ("per set", "ALL"):
+        assert sorted((r["feature"], r["suffix"]) for r in report if r["section"] == section) == sorted(cells)
