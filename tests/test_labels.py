@@ -49,3 +49,12 @@ def test_class_word_prob_formula(spark):
     df = spark.createDataFrame([(0, "x", "a b a"), (1, "y", "b")], "doc_id int, label string, words string")
     got = {(r["label"], r["word"]): (r["n"], r["prob"]) for r in stats.class_word_prob(df).collect()}
     assert got[("x", "a")] == (2, round(3 / 5003, 6)) and got[("y", "b")] == (1, round(2 / 5001, 6))
+
+
+def test_running_total_by_two_levels(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k"), F.when(F.col("id") % 7 != 0, F.col("id") % 11).alias("v")).repartition(6)
+    got = L.running_total(df, ["k"], "v").select("k", "running_total")
+    want = df.select("k", F.sum(F.coalesce("v", F.lit(0))).over(Window.orderBy("k")).alias("running_total"))
+    assert got.exceptAll(want).count() == 0 and got.count() == 3000
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert L.running_total(df.limit(0), ["k"], "v").count() == 0

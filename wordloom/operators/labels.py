@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
@@ -40,6 +40,22 @@ def global_row_number(spark: SparkSession, df: DataFrame, order_cols: list[str],
             .drop("_pid", "_mid"))
 
 
+def running_total(df: DataFrame, order_cols: list[str], value: str, out: str = "running_total") -> DataFrame:
+    """The sum of ``value`` over all rows up to and with each row, in the order of ``order_cols``, by two levels.
+
+    Rows are range-partitioned and checkpointed, so that the partitioning is fixed. A window runs within each
+    partition, and the sums of the partitions before it (one row per partition on the driver) are added. Null
+    values count as 0. ``order_cols`` must form a total order for the totals to be deterministic."""
+    ordered = df.repartitionByRange(*order_cols).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
+    v = F.coalesce(F.col(value), F.lit(0))
+    sums = dict(ordered.groupBy("_pid").agg(F.sum(v)).collect())
+    before = list(accumulate((sums.get(i, 0) for i in range(max(sums, default=-1) + 1)), initial=0))
+    offsets = df.sparkSession.createDataFrame([(i, x) for i, x in enumerate(before[:-1])], f"_pid int, _before {ordered.select(F.sum(v)).dtypes[0][1]}")
+    within = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    return (ordered.withColumn("_sum", F.sum(v).over(within)).join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_before") + F.col("_sum")).drop("_pid", "_sum", "_before"))
+
+
 def label_dictionary(df: DataFrame, raw: str = "raw_label", split: str | None = None,
                      split_order: list[str] | None = None) -> DataFrame:
     """L1: ``(raw_label, label)`` with labels 0, 1, 2, ... Labels first seen in an earlier split

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from wordloom.operators.corpus import word_records
 from wordloom.operators.features import WcpModel, predict_wcp
 from wordloom.session import scratch_path, spread
+from wordloom.operators.labels import running_total
 from wordloom.sources import cells as C
 
 
@@ -95,13 +96,10 @@ def score_collection(spark: SparkSession, store: DataFrame, collection_id: str,
 
 
 def batch_totals(spark: SparkSession, cells_path: str) -> DataFrame:
-    """Rows per batch and the running total. Counted from the cell log's ``batch``
-    partition column; the window runs over the batch table (one row per batch), not rows."""
-    from pyspark.sql import Window
+    """Rows per batch and the running total, counted from the cell log's ``batch`` partition column."""
     c = spark.read.parquet(cells_path).groupBy(F.col("batch").cast("bigint").alias("batch_id")) \
         .agg(F.count(F.lit(1)).alias("n_rows"))
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return c.withColumn("running_total", F.sum("n_rows").over(w))
+    return running_total(c, ["batch_id"], "n_rows")
 
 
 def latest_labels(spark: SparkSession, cells_path: str) -> DataFrame:
