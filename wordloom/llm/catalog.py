@@ -1,7 +1,7 @@
 """All queries of the subpackage, by name, and their SQL where it can express them."""
 
 from wordloom.llm import (  # noqa: F401  each module registers its query
-    bpe, compression, importance, language, near_dup, packing, permutation_index, quality, secrets, substrings, token_store, toxicity,
+    alignment, bpe, compression, importance, language, near_dup, packing, permutation_index, quality, secrets, substrings, token_store, toxicity,
 )
 from wordloom.llm.base import ORACLE, QUERIES
 
