@@ -264,8 +264,8 @@ def measured(found: DataFrame, counts: DataFrame) -> DataFrame:
         return pa.table({**{c: row[c] for c in ("doc_id", *STATS)}, "n_best": sums(prices["best"].to_numpy().astype(np.int64)), "count_sum": sums(prices["count"].to_numpy())}
                         ).select(arrow.names).cast(arrow)
 
-    asked = found.select("chunk", F.explode("pairs").alias("pair")).join(counts, "pair").select("chunk", "pair", "count", "best")
-    return found.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(solve, OUT)
+    asked = found.select(F.col("chunk").alias("of"), F.explode("pairs").alias("pair")).join(counts, "pair").select("of", "pair", "count", "best")
+    return found.groupBy("chunk").cogroup(asked.groupBy("of")).applyInArrow(solve, OUT)
 
 
 def align(docs: DataFrame, a: str, b: str) -> DataFrame:
