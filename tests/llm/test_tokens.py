@@ -225,9 +225,9 @@ def test_word_ids_equal_the_library_on_random_text(monkeypatch):
     import pyarrow as pa
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(token_store, "CACHE_WORDS", 300)
-    whole, words, rng = Tokenizer.from_file(P.path("word_bpe_49k.json")), token_store.WordIds(P.path("word_bpe_49k.json")), random.Random(6)
-    for alphabet in ("abAB '.,!s1 \t\n", [chr(c) for c in range(1, 0x250)], "aé'́İßΣσς  日\x02|<>"):
+    monkeypatch.setattr(token_store, "CACHE_PIECES", 300)
+    whole, words, rng = Tokenizer.from_file(P.path("word_bpe_49k.json")), token_store.PieceIds(P.path("word_bpe_49k.json")), random.Random(6)
+    for alphabet in ("abAB '.,!s1 \t\n", "aA éÉßÿŸŉǅǆ×'s1.ªºŁ", [chr(c) for c in range(1, 0x250)], "aé'́İßΣσς  日\x02|<>"):
         texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 120))) for _ in range(150)] + [None, ""]
         ids, sizes = words.encode(pa.array(texts))
         for t, x in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):

@@ -13,9 +13,9 @@ the files of the tasks that were committed, with the number of tokens before eac
 leave files that no index names. Files are written through ``pyarrow.fs`` (local, hdfs, s3, gs paths) to the shared
 folder and read back by Spark's ``binaryFile`` source.
 
-**Tokens.** The words (runs between ASCII white space) of a slice of documents are dictionary-encoded, each distinct word
-is encoded by the tokenizer once, and the ids are gathered back by word. Texts with a special token's string go to
-the tokenizer whole, as white space may matter to it.
+**Tokens.** Texts of common Latin characters are cut into the pieces that the tokenizer merges within (words, digits, runs of
+marks); the pieces of a slice of documents are dictionary-encoded, each distinct one is encoded by the library once, and the
+ids are gathered back. Other texts, and those with a special token's string, go to the library whole.
 
 A null or empty text has only the end id. Rows without an id come first; rows that repeat an id are documents of their own,
 in the order of a hash of the text. An empty table gives no files and an empty result. Other columns are ignored.
@@ -24,6 +24,7 @@ in the order of a hash of the text. An empty table gives no files and an empty r
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
@@ -33,7 +34,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from wordloom.llm.base import map_slices, register, table
+from wordloom.llm.packing import byte_letters
 from wordloom.operators.labels import running_total
 from wordloom.session import scratch_path
 
@@ -50,8 +51,8 @@ END = 2
 FILE_TOKENS = 2_000_000
 #: Documents that a task encodes at a time.
 DOCS = 1024
-#: Distinct words whose ids a worker remembers before it starts afresh.
-CACHE_WORDS = 200_000
+#: Distinct pieces whose ids a worker remembers before it starts afresh.
+CACHE_PIECES = 200_000
 MAGIC = b"WLDAC001"
 BLOCK, WORD = 512, 64
 
@@ -189,79 +190,68 @@ class Codes:
         return self.range(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
 
 
-class WordIds(dict):
-    """word (lower-case ASCII letters) -> its ids as little-endian 32-bit integers; filled by :meth:`learn`."""
+class PieceIds(dict):
+    """piece (a run of letters, a digit, a run of marks, lower case) -> its ids as little-endian 32-bit integers."""
 
-    GAP = "\x02"
-    PIECES = re.compile(r"\x02|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[!-&(-/:-@[-`{-~']+")
-    PLAIN = re.compile(r"[!-~]*")
+    LETTERS = "a-zß-öø-įı-ɏ"
+    #: Texts of these characters alone are cut here: their case, order and classes are the same in all libraries.
+    PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-įı-ɏ]*")
+    PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[!-&(-/:-@\[-`{{-~']+")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
         self.specials = [x.content for x in self.whole.get_added_tokens_decoder().values()]
-        #: The same merges, over pieces that are cut already; bytes 33 to 126 stand for themselves in its alphabet.
+        #: The same merges over pieces that are cut already and spelt in its alphabet of bytes.
         self.merges = Tokenizer(self.whole.model)
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.gap = self.whole.encode(self.GAP, add_special_tokens=False).ids
-        self.cut = self.merges.token_to_id(self.whole.id_to_token(self.gap[0])) if len(self.gap) == 1 else None
-
-    def _run(self, tokenizer, text: str, n: int) -> list[bytes]:
-        """Ids of ``n`` words, which the gap separates."""
-        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        gaps = np.flatnonzero(ids == self.cut)
-        if len(gaps) != n - 1:
-            raise ValueError("words and gaps do not match")
-        begin, end = np.concatenate(([0], gaps + 1)), np.append(gaps, len(ids))
+        self.alphabet = str.maketrans(dict(enumerate(byte_letters())))
+        self.ends = np.array([(self.whole.id_to_token(i) or "").endswith("</w>") for i in range(self.whole.get_vocab_size())])
+
+    def learn(self, pieces: list[str]) -> None:
+        """Every piece's last id, and no other, is one that ends a word."""
+        spelt = [p.encode().decode("latin-1").translate(self.alphabet) for p in pieces]
+        ids = np.array(self.merges.encode_batch_fast([spelt], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != len(pieces):
+            raise ValueError("the tokenizer has no ids that end words")
         raw = ids.tobytes()
-        return [raw[4 * a:4 * b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-
-    def learn(self, words: list[str]) -> None:
-        plain, other = [], []
-        for w in words:
-            if self.cut is None or self.GAP in w:
-                self[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                (plain if self.PLAIN.fullmatch(w) else other).append(w)
-        if plain:
-            gap = self.whole.id_to_token(self.cut).removesuffix("</w>")
-            text = " ".join(gap if p == self.GAP else p for p in self.PIECES.findall(f" {self.GAP} ".join(plain)))
-            self.update(zip(plain, self._run(self.merges, text, len(plain)), strict=True))
-        if other:
-            self.update(zip(other, self._run(self.whole, f" {self.GAP} ".join(other), len(other)), strict=True))
+        self.update(zip(pieces, [raw[4 * a:4 * b] for a, b in zip([0, *end[:-1].tolist()], end.tolist(), strict=True)], strict=True))
+
+    def is_plain(self, text: str) -> bool:
+        return self.PLAIN.fullmatch(text) is not None and not any(x in text for x in self.specials)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many each text has)."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        special = np.zeros(len(texts), bool)
-        for x in self.specials:
-            special |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
-        words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
-        flat = words.flatten().dictionary_encode()
+        texts = [t or "" for t in texts.to_pylist()]
+        plain = [self.is_plain(t) for t in texts]
+        cut = [self.PIECES.findall(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
+        flat = pa.array(itertools.chain.from_iterable(cut), pa.large_string()).dictionary_encode()
         distinct = flat.dictionary.to_pylist()
-        if len(self) + len(distinct) > CACHE_WORDS:
+        unknown = [w for w in distinct if w not in self]
+        if len(self) + len(unknown) > CACHE_PIECES:
             self.clear()
-        self.learn([w for w in distinct if w not in self])
+            unknown = distinct
+        if unknown:
+            self.learn(unknown)
         spelt = pa.array(map(self.__getitem__, distinct), pa.large_binary()).take(flat.indices)
-        spelt = pa.concat_arrays([spelt])  # from place 0
         ends = np.frombuffer(spelt.buffers()[1], "<i8", len(spelt) + 1) if len(spelt) else np.zeros(1, np.int64)
-        ids = np.frombuffer(spelt.buffers()[2] or b"", "<u4", int(ends[-1]) // 4) if len(spelt) else np.zeros(0, "<u4")
-        at = np.concatenate(([0], np.cumsum(pc.list_value_length(words).to_numpy())))
-        sizes = np.diff(ends[at] // 4)
-        if special.any():
+        ids = np.frombuffer(spelt.buffers()[2], "<u4", int(ends[-1]) // 4) if len(spelt) else np.zeros(0, "<u4")
+        sizes = np.diff(ends[np.concatenate(([0], np.cumsum([len(c) for c in cut], dtype=np.int64)))] // 4)
+        other = [k for k, p in enumerate(plain) if not p]
+        if other:
             parts = np.split(ids, np.cumsum(sizes)[:-1])
-            for k in np.flatnonzero(special):
-                parts[k] = np.array(self.whole.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, "<u4")
+            for k, e in zip(other, self.whole.encode_batch_fast([texts[k] for k in other], add_special_tokens=False), strict=True):
+                parts[k] = np.array(e.ids, "<u4")
             ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
         return ids, sizes
 
 
 @functools.lru_cache(maxsize=1)
-def load_words(path: str) -> WordIds:
-    return WordIds(path)
+def load_pieces(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def put(folder: str, name: str, data: bytes) -> None:
@@ -281,7 +271,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END, file_tok
     files, struct_ = f"{folder}/ids", StructType.fromDDL(INDEX)
 
     def run(batches):
-        words, part, number = load_words(tokenizer), TaskContext.get().partitionId(), 0
+        pieces, part, number = load_pieces(tokenizer), TaskContext.get().partitionId(), 0
         held, ids, sizes, size = [], [], [], 0
         arrow = to_arrow_schema(struct_)
 
@@ -296,7 +286,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end: int = END, file_tok
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS):
                 some = batch.slice(at, DOCS)
-                got, n = words.encode(some.column("text"))
+                got, n = pieces.encode(some.column("text"))
                 got = np.insert(got, np.cumsum(n), end)
                 held += some.column("doc_id").to_pylist()
                 ids.append(got)
