@@ -151,7 +151,7 @@ def jaccard_classes(rows):
 
 def test_near_duplicates_against_all_pairs(spark, monkeypatch):
     """Small blocks, so that one group of near copies is dealt with in many; its leader misses some members."""
-    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 220)
     rng, rows = random.Random(8), []
     for g in range(5):
         base = [f"w{rng.randint(0, 500)}" for _ in range(60)]
@@ -180,19 +180,47 @@ def test_components(spark):
     assert all(got[k] == 100 for k in range(100, 131))
 
 
-def brute_spans(rows, first_only):
+def test_joining_links_miss_no_pair():
+    """Every pair of similar texts of different components ends up joined, and nothing else, with weights and sizes of all kinds."""
+    rng, joined = np.random.default_rng(9), 0
+    for _ in range(60):
+        base = rng.choice(400, 40, replace=False).astype(np.uint64)
+        sets = []
+        for _ in range(14):
+            h = np.unique(np.concatenate((rng.choice(base, rng.integers(28, 41), replace=False), rng.integers(0, 10**6, rng.integers(0, 7)).astype(np.uint64))))
+            sets.append((h, rng.choice([1, 1, 1, 1, 2, 7], len(h)).astype(np.uint32) if rng.random() < 0.4 else np.ones(len(h), np.uint32)))
+        roots = [int(x) for x in rng.integers(0, 10, len(sets))]
+        probes = [k for k in range(len(sets)) if roots[k] != roots[0]]
+        near = {(a, b) for a in range(len(sets)) for b in range(a) if near_dup.probability_jaccard(*sets[a], *sets[b]) >= 0.8 - 1e-9 and roots[a] != roots[b] and (a in probes or b in probes)}
+        got = near_dup.joining_links(list(range(len(sets))), roots, sets, probes)
+        assert {(max(p), min(p)) for p in got} <= near
+        joined += len(got)
+
+        def classes(links):
+            top = {r: r for r in roots}
+            find = lambda x: x if top[x] == x else find(top[x])
+            for a, b in links:
+                x, y = find(roots[a]), find(roots[b])
+                top[max(x, y)] = min(x, y)
+            return [find(r) for r in roots]
+
+        assert classes(got) == classes(near)
+    assert joined > 50
+
+
+def brute_spans(rows, first_only, length=400):
     starts = collections.defaultdict(list)
     data = [(i, (t or "").encode()) for i, t in rows]
     for d, (_, b) in enumerate(data):
-        for k in range(len(b) - 399):
-            starts[b[k:k + 400]].append((d, k))
+        for k in range(len(b) - length + 1):
+            starts[b[k:k + length]].append((d, k))
     out = []
     for d, (_, b) in enumerate(data):
         hit = np.zeros(len(b), bool)
-        for k in range(len(b) - 399):
-            where = starts[b[k:k + 400]]
+        for k in range(len(b) - length + 1):
+            where = starts[b[k:k + length]]
             if len(where) > 1 and not (first_only and where[0] == (d, k)):
-                hit[k:k + 400] = True
+                hit[k:k + length] = True
         out.append([{"begin": x, "end": y + 1} for x, y in substrings.runs(hit)])
     return out
 
@@ -212,6 +240,24 @@ def test_repeated_spans_against_brute_force(spark, monkeypatch, keep, group):
     assert [got[i] for i, _ in rows] == brute_spans(rows, keep == "first")
 
 
+@pytest.mark.parametrize("length, gram", [(200, None), (60, 20)])
+def test_repeated_spans_of_other_lengths(spark, monkeypatch, length, gram):
+    """Also with texts that go in many stretches."""
+    monkeypatch.setattr(substrings, "STRETCH", 37)
+    rng = random.Random(13)
+    text = lambda n: " ".join("".join(rng.choice("abcdeé ") for _ in range(6)) for _ in range(n))
+    passages = [text(n) for n in (9, 30, 60)]
+    rows = [(k, text(rng.randint(0, 60)) + rng.choice(passages) + text(rng.randint(0, 40)) + rng.choice(["", *passages])) for k in range(14)] + [(21, "ab" * 400), (22, None)]
+    got = {r["doc_id"]: [s.asDict() for s in r["spans"]] for r in substrings.repeated_spans(frame(spark, rows), "first", length, gram).collect()}
+    assert [got[i] for i, _ in rows] == brute_spans(rows, True, length)
+
+
+def test_packing_without_ids(spark):
+    rows = frame(spark, [(None, "a b c"), (1, "d e"), (None, None), (2, "f " * 5000)])
+    got = packing.pack(packing.token_pieces(rows, P.path("word_bpe_49k.json")), size=4096).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in got) == [(0, 1), (0, 4), (1, 3), (2, 905), (2, 4096)]
+
+
 @pytest.mark.parametrize("group", [4096, 2])
 def test_repeated_rows_keep_the_first_passage(spark, monkeypatch, group):
     """Rows that repeat id and text count as one for ``keep="first"``, also where they share a passage with others."""

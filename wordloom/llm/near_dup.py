@@ -16,9 +16,9 @@ is missed with probability (1 - 0.8^5)^32 = 3e-6.
 copies are one representative from the start. First each document is held against one leader, of the buckets'
 most connected documents the one that it shares most bands with; the links make components. Buckets that still
 hold several components are joined into clusters, and in each cluster all documents outside its largest
-component are held against all others, in blocks of ``BLOCK`` documents: a task gets two blocks and returns the links
+component are held against all others, in blocks of ``BLOCK_SHINGLES`` shingles: a task gets two blocks and returns the links
 that join components, never all pairs. So a large group of copies costs a row a member and bucket, and its
-stragglers a block each.
+stragglers are sent once for each block of their cluster.
 
 Null texts and texts without a word resemble nothing and are classes of their own. Ties go to the smaller id. Rows
 that repeat an id are one document. An empty table gives an empty result. Other columns are ignored.
@@ -39,7 +39,8 @@ WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
-BLOCK = 256
+#: Shingles of a block of documents; two blocks meet in a task.
+BLOCK_SHINGLES = 1_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,7 +115,7 @@ def probability_jaccard(ha, ca, hb, cb) -> float:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, same: digest of the text, or of the id where there is no word, bands)."""
+    """(doc_id, same: digest of the text, or of the id where there is no word, bands, size: distinct shingles)."""
 
     def setup():
         hashes = WordHash()
@@ -124,10 +125,11 @@ def sketch(docs: DataFrame) -> DataFrame:
             sets = [weighted(shingles(t, hashes)) for t in texts]
             keys = band_keys(signatures(sets))
             same = [xxhash.xxh3_128_digest(t if len(h) else b"no words %d" % (i or 0)) for i, t, (h, _) in zip(ids, texts, sets, strict=True)]
-            return {"doc_id": ids, "same": same, "bands": [k if len(h) else [] for k, (h, _) in zip(keys, sets, strict=True)]}
+            return {"doc_id": ids, "same": same, "bands": [k if len(h) else [] for k, (h, _) in zip(keys, sets, strict=True)],
+                    "size": [len(h) for h, _ in sets]}
         return rows
 
-    return map_slices(docs.select("doc_id", "text"), setup, "doc_id long, same binary, bands array<long>")
+    return map_slices(docs.select("doc_id", "text"), setup, "doc_id long, same binary, bands array<long>, size long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -162,14 +164,26 @@ def joining_links(nodes: list[int], roots: list[int], sets: list[tuple[np.ndarra
     """Links of SIMILAR or more between each probe (a place in ``nodes``) and the other nodes, of other components
     (``roots``), as far as they join components that no earlier link has joined.
 
-    J_P is at most the share of either text's weight that lies in common shingles, so pairs below that are
-    passed over. Common weights come from one sorted list of all shingles and their owners."""
+    With x and y the shares of two texts' weights that lie in common shingles, J_P is at most 1 / (1/x + 1/y - 1). So a
+    probe is held only against texts that share one of its rarest shingles: if the first shared one comes after a share p of
+    the probe's weight, x is at most 1 - p, and y at most the common weight over the text's own, its repeats counted at
+    their most. Owners of a shingle are sorted by the latter, so those that cannot be near any more are never touched, and
+    texts with many shingles of their own touch nothing. Pairs beyond the bound are passed over, others computed."""
     owner = np.repeat(np.arange(len(nodes)), [len(h) for h, _ in sets])
-    share = np.concatenate([c / c.sum() for _, c in sets])
-    every = np.concatenate([h for h, _ in sets])
-    order = np.argsort(every, kind="stable")
-    every, owner, share = every[order], owner[order], share[order]
+    weight = np.array([c.sum() for _, c in sets], float)
+    least = weight / [c.max(initial=1) for _, c in sets]
+    by_least = np.empty(len(nodes), np.int64)
+    by_least[np.argsort(least, kind="stable")] = np.arange(len(nodes))
+    least_sorted = np.sort(least)
+    every, name = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+    counts = np.concatenate([c for _, c in sets]).astype(float)
+    order = np.lexsort((by_least[owner], name))
+    place = name[order] * len(nodes) + by_least[owner[order]]  # sorted: shingle, then owner by ``least``
+    owners, held = owner[order], counts[order]
+    often = np.bincount(name, minlength=len(every))
+    first = np.concatenate(([0], np.cumsum([len(h) for h, _ in sets])))
     parent = {r: r for r in roots}
+    group = np.unique(roots, return_inverse=True)[1]
 
     def top(x: int) -> int:
         while parent[x] != x:
@@ -177,32 +191,49 @@ def joining_links(nodes: list[int], roots: list[int], sets: list[tuple[np.ndarra
             x = parent[x]
         return x
 
+    def owned(shingles: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places in ``owners`` of the shingles' first owners, up to the given places."""
+        begin = np.searchsorted(place, shingles * len(nodes), "left")
+        n = np.maximum(end - begin, 0)
+        return np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+
+    most = 1 / SIMILAR + 1 + 1e-6  # 1/x + 1/y of similar texts is not above this
     out = []
     for a in probes:
-        h, c = sets[a]
-        begin, end = np.searchsorted(every, h, "left"), np.searchsorted(every, h, "right")
-        n = end - begin
-        at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        mine = np.bincount(owner[at], np.repeat(c / c.sum(), n), len(nodes))
-        theirs = np.bincount(owner[at], share[at], len(nodes))
-        near = np.flatnonzero(np.minimum(mine, theirs) >= SIMILAR - 1e-6)
-        for b in near[np.argsort(-mine[near], kind="stable")].tolist():
-            x, y = top(roots[a]), top(roots[b])
-            if x != y and probability_jaccard(h, c, *sets[b]) >= SIMILAR - 1e-9:
-                parent[max(x, y)] = min(x, y)
+        mine, c = name[first[a]:first[a + 1]], counts[first[a]:first[a + 1]]
+        rare = np.argsort(often[mine], kind="stable")
+        left = 1 - (np.cumsum(c[rare]) - c[rare]) / weight[a]  # x, if this is the first shared shingle
+        can = left > 1 / (most - 1) - 1e-9
+        room = most - 1 / left[can]
+        limit = np.searchsorted(least_sorted, left[can] * weight[a] * room * (1 + 1e-9), "right")
+        some = mine[rare][can]
+        near = np.unique(owners[owned(some, np.searchsorted(place, some * len(nodes) + limit, "left"))])
+        near = near[group[near] != group[a]]
+        if not len(near):
+            continue
+        at = owned(mine, np.searchsorted(place, (mine + 1) * len(nodes), "left"))
+        n = np.searchsorted(place, (mine + 1) * len(nodes), "left") - np.searchsorted(place, mine * len(nodes), "left")
+        x = np.bincount(owners[at], np.repeat(c, n), len(nodes))[near] / weight[a]
+        y = np.bincount(owners[at], held[at], len(nodes))[near] / weight[near]
+        good = 1 / x + 1 / y <= most
+        near, x = near[good], x[good]
+        for b in near[np.argsort(-x, kind="stable")].tolist():
+            p, q = top(roots[a]), top(roots[b])
+            if p != q and probability_jaccard(*sets[a], *sets[b]) >= SIMILAR - 1e-9:
+                parent[max(p, q)] = min(p, q)
                 out.append((nodes[a], nodes[b]))
     return out
 
 
 def between_components(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) that join components, among ``members(band, rep, root)`` of buckets with several of them."""
+    """Links (a, b) that join components, among ``members(band, rep, size, root)`` of buckets with several of them."""
     lead = members.groupBy("band").agg(F.min("rep").alias("b"))
     clusters = components(members.join(lead, "band").select(F.col("rep").alias("a"), "b"))
-    nodes = members.select("rep", "root").distinct().join(clusters.toDF("rep", "cluster"), "rep").checkpoint()
-    sizes = nodes.groupBy("cluster", "root").count()
-    largest = sizes.groupBy("cluster").agg(F.max(F.struct("count", "root")).alias("x"), F.sum("count").alias("all"))
-    largest = largest.select("cluster", F.col("x.root").alias("main"), F.ceil(F.col("x.count") / BLOCK).cast("int").alias("main_blocks"),
-                             F.ceil((F.col("all") - F.col("x.count")) / BLOCK).cast("int").alias("blocks"))
+    nodes = members.select("rep", "size", "root").distinct().join(clusters.toDF("rep", "cluster"), "rep").checkpoint()
+    sizes = nodes.groupBy("cluster", "root").agg(F.sum("size").alias("size"))
+    largest = sizes.groupBy("cluster").agg(F.max(F.struct("size", "root")).alias("x"), F.sum("size").alias("all"))
+    blocks = lambda c: F.ceil(c / BLOCK_SHINGLES).cast("int")
+    largest = largest.select("cluster", F.col("x.root").alias("main"), blocks(F.col("x.size")).alias("main_blocks"), blocks(F.col("all") - F.col("x.size")).alias("blocks"))
     nodes = nodes.join(largest, "cluster").withColumn("probe", F.col("root") != F.col("main"))
     block = F.pmod(F.xxhash64("rep"), F.when(F.col("probe"), F.col("blocks")).otherwise(F.col("main_blocks"))).cast("int")
     # Meetings (i, j): block i of probes with block j, which counts probes first, then the main component. A probe
@@ -228,8 +259,8 @@ def between_components(members: DataFrame, docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, is_copy): class_id is the smallest id of the document's class."""
     sketches = sketch(docs).checkpoint()
-    texts = sketches.groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
-    rows = texts.select("rep", F.explode("bands").alias("band")).checkpoint()
+    texts = sketches.groupBy("same").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.max("size").alias("size"))
+    rows = texts.select("rep", "size", F.explode("bands").alias("band")).checkpoint()
     shared = rows.groupBy("band").count().where("count > 1")
     rows = rows.join(shared, "band").checkpoint()  # only documents with company in a bucket are left
 
@@ -241,7 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = verified(best.checkpoint(), docs).select("a", "b").checkpoint()
     roots = components(links)
 
-    members = rows.select("band", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("root", "rep").alias("root"))
+    members = rows.select("band", "rep", "size").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("root", "rep").alias("root"))
     mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
     members = members.join(mixed, "band", "left_semi").checkpoint()
     roots = components(links.unionByName(between_components(members, docs)))

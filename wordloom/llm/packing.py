@@ -14,7 +14,7 @@ the sum of lengths needs, so easy shards cost little.
 **Second level.** What lies in sequences filled below ``GOOD_FILL`` is dealt again, whole sequences together, into
 as few shards as it needs and evolved once more from what it had, so it never gets worse.
 
-A null or empty text is one piece with the end mark alone. Repeated rows give repeated pieces, packed on their
+A null or empty text is one piece with the end mark alone. Documents without an id are packed like others. Repeated rows give repeated pieces, packed on their
 own. An empty table gives an empty result. Other columns of the input are ignored.
 """
 
@@ -266,12 +266,12 @@ def _pack_shards(items: DataFrame, shard, size: int, islands: int, epochs: int)
             first = np.concatenate(([0], np.flatnonzero(np.diff(which[order])) + 1))
             begin = np.repeat((ends - lengths[order])[first], np.diff(np.append(first, len(order))))
             fill = np.bincount(which, lengths)
-            for c in names[:-1]:
-                out[c].append(np.array(row[c], np.int64)[order])
-            out["sequence_id"].append(row["shard"] * SHARD * 64 + which[order])
-            out["offset"].append(ends - lengths[order] - begin)
-            out["fill"].append(fill[which[order]] / size)
-        return {c: np.concatenate(v) for c, v in out.items()}
+            for c in names[:-1]:  # ids may be null
+                out[c] += np.array(row[c], object)[order].tolist()
+            out["sequence_id"] += (row["shard"] * SHARD * 64 + which[order]).tolist()
+            out["offset"] += (ends - lengths[order] - begin).tolist()
+            out["fill"] += (fill[which[order]] / size).tolist()
+        return out
 
     won = state.groupBy("shard").agg(F.collect_list("best").alias("bests"))
     return map_slices(base.drop("before").join(won, "shard"), lambda: spell, PIECES + ", sequence_id long, offset long, fill double", rows=8)

@@ -44,6 +44,8 @@ CHUNK = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POSITION_BITS = 28
+#: Windows whose anchors are found at a time; longer texts go in stretches, so memory has a bound too.
+STRETCH = 1 << 24
 
 
 class Powers:
@@ -63,10 +65,21 @@ class Powers:
 def anchors(data: bytes, powers: Powers, length: int = LENGTH, gram: int = GRAM):
     """(position, hash of the gram there, hash of the text around it, least and largest distance from the start
     of a window to it) of the anchors of all ``length``-byte windows."""
+    n, reach, parts = len(data), length - gram, []
+    for s in range(0, n - length + 1, STRETCH):
+        e, begin = min(s + STRETCH, n - length + 1), max(s - reach, 0)
+        pos, a, u, lo, hi = _anchors_of(data[begin:e + reach + length], powers, length, gram, s - begin, e - begin)
+        parts.append((pos + begin, a, u, lo, hi))
+    if not parts:
+        return (np.zeros(0, np.int64),) * 5
+    pos, a, u, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+    first = np.concatenate(([True], pos[1:] != pos[:-1]))  # a stretch may begin at the anchor with which the last one ends
+    return pos[first], a[first], u[first], np.minimum.reduceat(lo, np.flatnonzero(first)), np.maximum.reduceat(hi, np.flatnonzero(first))
+
+
+def _anchors_of(data: bytes, powers: Powers, length: int, gram: int, begin: int, stop: int):
+    """The same for the windows that start at ``begin`` up to ``stop``; ``data`` holds all that lies around their anchors."""
     n, reach = len(data), length - gram
-    if n < length:
-        e = np.zeros(0, np.int64)
-        return e, e, e, e, e
     up, down = powers.get(n + 1)
     b = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(b * up[:n], dtype=np.uint64)))
@@ -77,13 +90,13 @@ def anchors(data: bytes, powers: Powers, length: int = LENGTH, gram: int = GRAM)
     block = np.concatenate((keys, np.full(pad, np.uint64(2**64 - 1)))).reshape(-1, w)
     left = np.minimum.accumulate(block, axis=1).reshape(-1)
     right = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    starts = n - length + 1
-    at = (np.minimum(right[:starts], left[reach:reach + starts]) & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+    at = (np.minimum(right[begin:stop], left[reach + begin:reach + stop]) & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
     first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-    last = np.concatenate((first[1:] - 1, [starts - 1]))
+    last = np.concatenate((first[1:] - 1, [stop - begin - 1]))
     pos = at[first]
-    begin, end = np.maximum(pos - reach, 0), np.minimum(pos + length, n)
-    around = mix((sums[end] - sums[begin]) * down[begin] + ((pos - begin) << 20 | (end - pos)).astype(np.uint64) * BASE)
+    first, last = first + begin, last + begin
+    begins, ends = np.maximum(pos - reach, 0), np.minimum(pos + length, n)
+    around = mix((sums[ends] - sums[begins]) * down[begins] + ((pos - begins) << 20 | (ends - pos)).astype(np.uint64) * BASE)
     return pos, grams[pos].view(np.int64), around.view(np.int64), pos - last, pos - first
 
 
@@ -154,12 +167,12 @@ ANCHORS = "key long, doc_id long, pos int, a long, u long, lo int, hi int"
 STARTS = "key long, first long, last long"
 
 
-def _anchors(keyed: DataFrame, only_hash: bool) -> DataFrame:
+def _anchors(keyed: DataFrame, only_hash: bool, length: int, gram: int) -> DataFrame:
     def setup():
         powers = Powers()
 
         def rows(batch: pa.RecordBatch) -> dict:
-            got = [anchors(t, powers) for t in utf8(batch.column("text"))]
+            got = [anchors(t, powers, length, gram) for t in utf8(batch.column("text"))]
             pos, a, u, lo, hi = (np.concatenate([g[i] for g in got]) for i in range(5))
             if only_hash:
                 return {"a": a}
@@ -172,7 +185,7 @@ def _anchors(keyed: DataFrame, only_hash: bool) -> DataFrame:
     return map_slices(src, setup, "a long" if only_hash else ANCHORS)
 
 
-def _surroundings(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+def _surroundings(keyed: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """For each wanted anchor the bytes of its windows before and after the gram."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("a", "doc_id", "pos", "lo", "hi", "alone")).alias("at"))
 
@@ -181,16 +194,16 @@ def _surroundings(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         for key, data, at in zip(batch.column("key").to_pylist(), utf8(batch.column("text")), batch.column("at").to_pylist(), strict=True):
             for x in at:
                 p = x["pos"]
-                for c, v in {"key": key, "left": data[p - x["hi"]:p], "right": data[p + GRAM:p - x["lo"] + LENGTH], **x}.items():
+                for c, v in {"key": key, "left": data[p - x["hi"]:p], "right": data[p + gram:p - x["lo"] + length], **x}.items():
                     out[c].append(v)
         return out
 
     return map_slices(keyed.select("key", "text").join(lists, "key"), lambda: rows, "key long, a long, doc_id long, pos int, lo int, hi int, alone boolean, left binary, right binary")
 
 
-def _by_suffix_order(around: DataFrame, first_only: bool) -> DataFrame:
+def _by_suffix_order(around: DataFrame, first_only: bool, width: int) -> DataFrame:
     """Runs of repeated window starts, from the surroundings of groups that fit a task."""
-    depth = LENGTH - GRAM + 1
+    depth = width + 1  # the bytes of a window beside the gram, which counts as one
 
     def solve(rows: list[dict]) -> list[tuple[int, int, int]]:
         rows.sort(key=lambda r: (r["doc_id"], r["key"], r["pos"]))
@@ -237,10 +250,8 @@ def _by_suffix_order(around: DataFrame, first_only: bool) -> DataFrame:
     return together.select("key", "a", "doc_id", "pos", "lo", "hi", "alone", "left", "right").mapInArrow(run, STARTS)
 
 
-def _by_counting(around: DataFrame, first_only: bool) -> DataFrame:
+def _by_counting(around: DataFrame, first_only: bool, width: int) -> DataFrame:
     """The same for the groups of common anchors: each window is hashed and counted."""
-    width = LENGTH - GRAM
-
     def setup():
         powers = Powers()
 
@@ -267,15 +278,17 @@ def _by_counting(around: DataFrame, first_only: bool) -> DataFrame:
     return hit.select("key", F.col("start").alias("first"), F.col("start").alias("last"))
 
 
-def repeated_spans(docs: DataFrame, keep: str = "none") -> DataFrame:
-    """doc_id, text, spans (array of begin, end: the maximal runs of repeated bytes) and rest (a struct of all other
-    columns) for each row."""
+def repeated_spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, gram: int | None = None) -> DataFrame:
+    """doc_id, text, spans (array of begin, end: the maximal runs of bytes in repeated strings of ``length`` bytes) and rest (a
+    struct of all other columns) for each row. ``gram`` (half the length) is the length of the anchors: a shorter one leaves
+    fewer of them, but more that recur by chance."""
+    gram = gram or length // 2
     first_only = {"none": False, "first": True}[keep]
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text", (F.struct(*rest) if rest else F.lit(None)).alias("rest"))
 
-    twice = _anchors(keyed, True).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
-    found = join_hot(_anchors(keyed, False), twice, "a", "left_semi").checkpoint()
+    twice = _anchors(keyed, True, length, gram).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
+    found = join_hot(_anchors(keyed, False, length, gram), twice, "a", "left_semi").checkpoint()
     kinds = found.groupBy("a", "u").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "pos", "lo", "hi")).alias("one"))
     kinds = kinds.checkpoint()
     equal = found.join(kinds.where("n > 1").select("a", "u", "one"), ["a", "u"])
@@ -287,14 +300,14 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> DataFrame:
     wanted = join_hot(kinds, groups, "a").select("a", "one.*", (F.col("n") == 1).alias("alone"), "kinds").checkpoint()
     spans = equal
     for some, solve in ((wanted.where(F.col("kinds") <= GROUP), _by_suffix_order), (wanted.where(F.col("kinds") > GROUP), _by_counting)):
-        spans = spans.unionByName(solve(_surroundings(keyed, some.drop("kinds")), first_only))
+        spans = spans.unionByName(solve(_surroundings(keyed, some.drop("kinds"), length, gram), first_only, length - gram))
     lists = spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
 
     def merge(batch: pa.RecordBatch) -> dict:
         out = []
         for starts in batch.column("starts").to_pylist():
             merged = []
-            for x, y in sorted((s["first"], s["last"] + LENGTH) for s in starts):
+            for x, y in sorted((s["first"], s["last"] + length) for s in starts):
                 if merged and x <= merged[-1]["end"]:
                     merged[-1]["end"] = max(merged[-1]["end"], y)
                 else:
@@ -314,10 +327,10 @@ def without(data: bytes, spans: list[dict]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def cut(docs: DataFrame, keep: str = "first") -> DataFrame:
+def cut(docs: DataFrame, keep: str = "first", length: int = LENGTH, gram: int | None = None) -> DataFrame:
     """The rows of ``docs`` with the repeated bytes taken out of their texts; what is left of a character that loses
     some of its bytes goes too. ``n_chars``, if there is such a column, is counted anew."""
-    found = repeated_spans(docs, keep)
+    found = repeated_spans(docs, keep, length, gram)
 
     def rows(batch: pa.RecordBatch) -> dict:
         left = [without(t, x).decode("utf-8", "ignore") if x else t.decode() for t, x in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), strict=True)]
