@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import near_dup, packing, quality, secrets, substrings
-from wordloom.session import ensure_checkpoint_dir, scratch_path, spread
+from wordloom.session import ensure_checkpoint_dir, scratch_path, ship_package, spread
 
 TOKENIZER = "word_bpe_49k.json"
+#: Bytes of the shortest passage that counts as repeated: about what 51 words take.
+PASSAGE = 200
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document, or the same one earlier on, has already."""
-    return substrings.cut(spread(docs), keep="first")
+    return substrings.cut(spread(docs), keep="first", length=PASSAGE)
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +70,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         out = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
