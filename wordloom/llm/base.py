@@ -3,6 +3,7 @@ through Arrow batches, and hashing of words."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -82,6 +83,13 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> D
     return many.join(one, [key, "_salt"], how).drop("_salt")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files and checkpoints of tables that nothing refers to any more. It does so
+    when the driver's memory is collected, which long chains of small jobs do not bring about by themselves."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null is empty."""
     return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]

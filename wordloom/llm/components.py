@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.base import release
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links(a, b)``: root is the smallest node that it is linked with, directly or
@@ -32,3 +34,4 @@ def components(links: DataFrame) -> DataFrame:
             roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
         before, e = now, star(star(e, True), False).checkpoint()
+        release(links.sparkSession)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.base import WordHash, map_slices, mix, register, table, utf8
+from wordloom.llm.base import WordHash, map_slices, mix, register, release, table, utf8
 from wordloom.llm.components import components
 
 WIDTH = 5
@@ -263,6 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = texts.select("rep", "size", F.explode("bands").alias("band")).checkpoint()
     shared = rows.groupBy("band").count().where("count > 1")
     rows = rows.join(shared, "band").checkpoint()  # only documents with company in a bucket are left
+    release(docs.sparkSession)
 
     # A bucket's leader is its member with the most company in all its buckets.
     company = rows.groupBy("rep").agg(F.sum("count").alias("company"))
@@ -270,12 +271,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     led = rows.join(leaders, "band").where(F.col("rep") != F.col("leader")).groupBy("rep", "leader").agg(F.count("*").alias("n"))
     best = led.groupBy("rep").agg(F.max(F.struct("n", (-F.col("leader")).alias("low"))).alias("x")).select((-F.col("x.low")).alias("a"), F.col("rep").alias("b"))
     links = verified(best.checkpoint(), docs).select("a", "b").checkpoint()
+    release(docs.sparkSession)
     roots = components(links)
 
     members = rows.select("band", "rep", "size").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("root", "rep").alias("root"))
     mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
     members = members.join(mixed, "band", "left_semi").checkpoint()
-    roots = components(links.unionByName(between_components(members, docs)))
+    roots = components(links.unionByName(between_components(members, docs)).checkpoint())
 
     reps = sketches.select("doc_id", "same").join(texts.select("same", "rep"), "same")
     out = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
