@@ -62,6 +62,47 @@ def test_similar_topk(spark):
     assert got == [1, 2]
 
 
+def test_similar_topk_searches_all_rows_in_blocks(spark):
+    """Rows of every label, many tasks, query blocks of two; null, zero, short and repeated vectors."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 8)).round(2)
+    rows = [(i, i % 3, v.tolist()) for i, v in enumerate(x)] + [(300, 0, None), (301, 0, [0.0] * 8), (302, 1, [1.0]), (303, 2, x[5].tolist()), (304, 0, [float("nan")] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(7)
+    q = spark.createDataFrame([(i, x[i].tolist()) for i in (5, 17, 90, 205, 299)], "label long, query array<double>")
+    for own in (False, True):
+        got = FT.similar_topk(df, q, 4, skip_own=own, block_bytes=2 * 8 * 8)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        found = {(r["label"], r["rank"]): r["vec_id"] for r in got.collect()}
+        for key in (5, 17, 90, 205, 299):
+            score = [(-float(np.dot(v, x[key]) / np.linalg.norm(v) / np.linalg.norm(x[key])), i) for i, _, v in rows if v and len(v) == 8 and any(v) and v[0] == v[0] and not (own and i == key)]
+            want = [i for _, i in sorted((round(s, 12), i) for s, i in score)[:4]]
+            assert [found[key, r] for r in (1, 2, 3, 4)] == want
+    assert FT.similar_topk(df, q.limit(0), 4).count() == 0
+
+
+def test_words_meet_large_tables_the_same_way(spark, monkeypatch):
+    """Above the broadcast bound frequent words meet the table apart from the others: same means and scores, and the frequent
+    word is not shuffled."""
+    from wordloom.operators import common as CM
+    words = [" ".join(["the"] * 5 + [f"w{i % 40}", f"v{i % 7}", f"u{i}"]) for i in range(200)]
+    df = spark.createDataFrame([(i, "xy"[i % 2], w) for i, w in enumerate(words)], "doc_id int, label string, words string")
+    vectors = FT.md5_word_vectors(df, min_count=2).checkpoint()
+    def results():
+        model = FT.fit_wcp(df)
+        mean = FT.doc_vector_mean(df, vectors, n_vectors=vectors.count(), dim=4)
+        return [sorted((r["doc_id"], *[round(v, 9) for v in r["features"]]) for r in mean.collect()),
+                sorted((r["doc_id"], r["label"], round(r["score"], 9)) for r in FT.score_wcp(model, df).collect())]
+    want = results()
+    monkeypatch.setattr(CM, "MAX_BROADCAST_BYTES", 400)
+    monkeypatch.setattr(CM, "FREQUENT_WORDS", 3)
+    toks = df.selectExpr("doc_id", "explode(split(words, ' ')) AS word")
+    assert "the" in CM.frequent_words(toks, n=3)
+    plan = CM.join_words(toks, vectors, ["doc_id"], 10**9, 100, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
+    assert results() == want
+
+
 def test_join_features_many_to_many(spark):
     f = spark.createDataFrame([(1, 0.5), (1, 0.7), (2, 0.1)], "doc_id int, v double")
     r = spark.createDataFrame([(1, 1.0), (1, 0.0), (2, None)], "doc_id int, label double")

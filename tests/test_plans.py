@@ -55,7 +55,7 @@ def test_registered_collection_scan_pushes_key_range(spark):
 def test_top_k_limits_before_the_shuffle(spark):
     import __spark_entry__ as E
     p = plan_text(E.queries()["similar_topk"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in p and "Partial" in p
+    assert "WindowGroupLimit" in p and "Partial" in p and "Join" not in p
 
 
 def test_class_scores_one_shuffle_model_broadcast(spark):

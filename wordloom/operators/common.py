@@ -30,6 +30,35 @@ def fits_broadcast(n_rows: int | None, row_bytes: int) -> bool:
     return n_rows is not None and n_rows * row_bytes <= MAX_BROADCAST_BYTES
 
 
+# Words that :func:`frequent_words` names at most, and counters of its sketch.
+FREQUENT_WORDS = 1000
+SKETCH_ITEMS = 10_000
+
+
+def frequent_words(toks: DataFrame, word: str = "word", n: int = FREQUENT_WORDS) -> list[str]:
+    """At most ``n`` of the most frequent words, from one pass with a frequency sketch per task (the sketches merge). A
+    word that the sketch names by mistake, or misses, costs time alone: callers treat the others alike."""
+    got = toks.agg(F.expr(f"approx_top_k(`{word}`, {n}, {max(SKETCH_ITEMS, n)})").alias("top")).first()["top"]
+    return sorted(x["item"] for x in got or [] if x["item"] is not None)
+
+
+def join_words(toks: DataFrame, table: DataFrame, keys: list[str], n_rows: int | None, row_bytes: int,
+               count: str, how: str = "inner") -> DataFrame:
+    """Rows ``(*keys, word)`` joined with ``table`` on ``word``, whatever the size of either; ``count`` says for how many
+    rows each stands.
+
+    A table proven small is broadcast. Otherwise the frequent words, of which there is a fixed number, meet their rows of
+    the table by broadcast where they are, so no task gets all rows of a word that every text has; only the
+    other words, pre-counted by text, are shuffled. Callers sum the union."""
+    if fits_broadcast(n_rows, row_bytes):
+        return toks.join(F.broadcast(table), "word", how).withColumn(count, F.lit(1))
+    n = max(1, min(FREQUENT_WORDS, MAX_BROADCAST_BYTES // row_bytes))
+    hot = toks.sparkSession.createDataFrame([(w,) for w in frequent_words(toks, n=n)], "word string")
+    often = toks.join(F.broadcast(hot), "word", "left_semi").join(F.broadcast(table.join(F.broadcast(hot), "word", "left_semi")), "word", how)
+    rest = toks.join(F.broadcast(hot), "word", "left_anti").groupBy(*keys, "word").agg(F.count(F.lit(1)).alias(count)).join(table, "word", how)
+    return often.withColumn(count, F.lit(1).cast("bigint")).unionByName(rest)
+
+
 def maybe_broadcast(small: DataFrame, proven_small: bool) -> DataFrame:
     """Broadcast only behind a proven bound; otherwise leave the choice to AQE at runtime."""
     return F.broadcast(small) if proven_small else small

@@ -12,16 +12,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom import constants as K
 from wordloom.functions.hashing import md5_bucket, md5_unit
 from wordloom.functions.text import tokens
 from wordloom.functions.vectors import as_double_array, cosine, pad
-from wordloom.operators.common import (MAX_BROADCAST_ROWS, bounded_distinct, distinct_at_most, fits_broadcast,
-                                       maybe_broadcast)
+from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, join_words, maybe_broadcast
+from wordloom.operators.labels import global_row_number
 
 MAX_CLASSES = 100_000
 WORD_BYTES = 48  # estimated bytes of a word key and row overhead
+QUERY_BLOCK_BYTES = 16 * 1024 * 1024  # query vectors that one pass over the rows of similar_topk takes
 WIDE_CLASSES = 256  # up to this many classes, per-class counts are columns of one aggregate
 
 
@@ -77,10 +79,9 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     unknown words are skipped and a text without known words is dropped (inner join).
 
     With a vector table proven small (``n_vectors`` counted, e.g. by ``common.materialize``, times
-    the vector width within ``common.MAX_BROADCAST_BYTES``) tokens meet
-    it by broadcast and the per-dimension sums are partially aggregated per text before the one
-    shuffle. Otherwise token counts per (text, word) are formed first, so a frequent word adds
-    one weighted row per text, and the vocabulary join is left to AQE (it grows with the corpus).
+    the vector width within ``common.MAX_BROADCAST_BYTES``) tokens meet it by broadcast; a larger one by
+    ``common.join_words``, frequent words apart from the others. The per-dimension sums are
+    partially aggregated per text before the shuffle.
     ``carry`` columns (fixed per text, e.g. its label) ride through the grouping, so nothing is
     joined back to the records afterwards.
     """
@@ -89,10 +90,7 @@ def doc_vector_mean(df: DataFrame, vectors: DataFrame, id_col: str = "doc_id", t
     v = vectors.select("word", as_double_array("vector").alias("_v"))
     keys = ["doc_id", *carry]
     toks = df.select(F.col(id_col).alias("doc_id"), *carry, F.explode(tokens(text)).alias("word"))
-    if fits_broadcast(n_vectors, WORD_BYTES + 8 * dim):
-        joined = toks.join(F.broadcast(v), "word").withColumn("k", F.lit(1))
-    else:
-        joined = toks.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("k")).join(v, "word")
+    joined = join_words(toks, v, keys, n_vectors, WORD_BYTES + 8 * dim, "k")
     sums = [F.sum(F.col("k") * F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
     agg = joined.groupBy(*keys).agg(F.sum("k").alias("_n"), *sums)
     return agg.select(*keys, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
@@ -154,18 +152,11 @@ def _wcp_sums(model: WcpModel, score: DataFrame, text: str, id_col: str) -> Data
     """Per text: token count ``L`` and, per class, ``sum over tokens of ln(1 + n_cw)``.
 
     With a model proven small, tokens meet it by broadcast (no shuffle of tokens) and the sums
-    are partially aggregated per text before the only shuffle. A larger model is joined by a
-    shuffle on the word after per-(text, word) pre-aggregation, so a frequent word adds one
-    row per text."""
+    are partially aggregated per text before the only shuffle. A larger model meets them by ``common.join_words``."""
     k = len(model.classes)
     toks = score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w")) \
         .select("doc_id", F.lower("w").alias("word"))
-    small = fits_broadcast(model.n_words, WORD_BYTES + 8 * k)
-    if small:
-        j = toks.join(F.broadcast(model.words), "word", "left").withColumn("_k", F.lit(1))
-    else:
-        terms = toks.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("_k"))
-        j = terms.join(model.words, "word", "left")
+    j = join_words(toks, model.words, ["doc_id"], model.n_words, WORD_BYTES + 8 * k, "_k", "left")
     sums = [F.sum(F.col("_k") * F.coalesce(F.col("lnv")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(k)]
     return j.groupBy("doc_id").agg(F.sum("_k").alias("L"), *sums)
 
@@ -226,16 +217,72 @@ def label_centroids(df: DataFrame, vec: str = "embedding", label: str = "label",
 
 
 def similar_topk(df: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec: str = "embedding",
-                 key: str = "label") -> DataFrame:
-    """O1 (``findSynonyms`` in general form): per query vector, the ``k`` most cosine-similar
-    rows. ``queries`` is ``(key, query array<double>)``; each row meets only its own key's
-    query (an equi-join, no all-pairs product). Ties by id. ``row_number() <= k`` lets Spark
-    put a per-partition group limit before the shuffle (WindowGroupLimit), so a huge key
-    never sorts more than ``k`` rows per map task into the final window."""
+                 key: str = "label", skip_own: bool = False, block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+    """O1 (``findSynonyms`` in general form): per query vector, the ``k`` most cosine-similar of **all** rows of ``df``.
+
+    ``queries`` is ``(key, query array<double>)``. Queries are numbered and taken in blocks of at most
+    ``block_bytes``; a block is one pass over the rows. Each task keeps only the ``k`` best rows per query so far
+    (states that merge: the best of the tasks' bests), so what leaves a task is ``k`` rows per query and no
+    pair of row and query is ever emitted. Ties by id; ``skip_own`` leaves out the row whose id is the key.
+    Null or zero vectors and those of another length take no part. Sums run in vector order, in doubles.
+    Output ``(key, rank, id, cosine)``."""
     from pyspark.sql import Window
-    small = distinct_at_most(queries, [key], MAX_BROADCAST_ROWS)
-    j = df.select(id_col, key, as_double_array(vec).alias("_x")).join(maybe_broadcast(queries, small), key)
-    scored = j.select(key, id_col, cosine("_x", "query").alias("cosine"))
+
+    spark = df.sparkSession
+    numbered = global_row_number(spark, queries.select(key, as_double_array("query").alias("query")).where(F.col("query").isNotNull()), [key], "_n").checkpoint()
+    n, dim = numbered.agg(F.count(F.lit(1)), F.max(F.size("query"))).first()
+    rows = df.select(F.col(id_col), F.col(vec)).where(F.col(vec).isNotNull())
+    schema = T.StructType([T.StructField(key, numbered.schema[key].dataType), T.StructField(id_col, rows.schema[id_col].dataType), T.StructField("cosine", T.DoubleType())])
+    size = max(1, block_bytes // (8 * (dim or 1)))
+    best = spark.createDataFrame([], schema)
+    for first in range(0, n, size):
+        block = numbered.where(F.col("_n").between(first + 1, first + size)).select(key, "query").collect()
+        best = best.unionByName(rows.mapInArrow(_k_best([b[key] for b in block], [b["query"] for b in block], k, skip_own, schema), schema))
     w = Window.partitionBy(key).orderBy(F.col("cosine").desc(), F.col(id_col))
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(key, F.col("rank").cast("bigint").alias("rank"), id_col, "cosine"))
+
+
+def _k_best(keys: list, queries: list, k: int, skip_own: bool, schema: T.StructType):
+    """The part of :func:`similar_topk` that runs in a task: Arrow batches of (id, vector) -> the task's best rows."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    def run(batches):
+        arrow, by_dim = to_arrow_schema(schema), {}
+        for j, q in enumerate(queries):
+            by_dim.setdefault(len(q), []).append(j)
+        best: list[list[tuple]] = [[] for _ in keys]  # (-cosine, id), at most k
+
+        def norms(m):
+            total = np.zeros(len(m))
+            for d in range(m.shape[1]):
+                total += m[:, d] * m[:, d]
+            return np.sqrt(total)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                ids, vectors = (c for c in batch.slice(at, 1024).columns)
+                lengths = np.array([len(v) if v is not None else -1 for v in vectors.to_pylist()])
+                names = ids.to_pylist()
+                for dim, which in by_dim.items():
+                    mine = np.flatnonzero(lengths == dim)
+                    if not len(mine) or not dim:
+                        continue
+                    x = np.array(vectors.take(pa.array(mine)).to_pylist(), float)
+                    q = np.array([queries[j] for j in which], float)
+                    scores = np.zeros((len(x), len(q)))
+                    for d in range(dim):
+                        scores += np.outer(x[:, d], q[:, d])
+                    with np.errstate(all="ignore"):
+                        scores /= np.outer(norms(x), norms(q))
+                    for c, j in enumerate(which):
+                        s = np.where(np.isfinite(scores[:, c]), scores[:, c], -np.inf)
+                        bar = -best[j][-1][0] if len(best[j]) == k else -np.inf
+                        some = [(-s[i], names[mine[i]]) for i in np.flatnonzero((s >= bar) & (s > -np.inf)) if not (skip_own and names[mine[i]] == keys[j])]
+                        best[j] = sorted(best[j] + some)[:k]
+        out = [(keys[j], i, -s) for j, b in enumerate(best) for s, i in b]
+        yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], f.type) for c, f in enumerate(arrow)], schema=arrow)
+
+    return run

@@ -196,9 +196,9 @@ def q_pattern_flags(spark, sf):
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 u AS (SELECT label, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM e),
 c AS (SELECT label, list(m ORDER BY i) AS q FROM (SELECT label, i, avg(v) AS m FROM u GROUP BY 1, 2) GROUP BY label),
-s AS (SELECT e.label, e.vec_id,
+s AS (SELECT c.label, e.vec_id,
         list_dot_product(e.x, c.q) / (sqrt(list_dot_product(e.x, e.x)) * sqrt(list_dot_product(c.q, c.q))) AS cosine
-      FROM e JOIN c USING (label)),
+      FROM e CROSS JOIN c),
 r AS (SELECT label, vec_id, cosine, row_number() OVER (PARTITION BY label ORDER BY cosine DESC, vec_id) AS rank FROM s)
 SELECT label, CAST(rank AS BIGINT) AS rank, vec_id, round(cosine, 6) AS cosine FROM r WHERE rank <= {TOPK}
 """)
