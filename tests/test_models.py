@@ -117,3 +117,48 @@ def test_grid_and_report_cover_all_folds(spark, monkeypatch):
     report = QM.q_experiment_report(spark, SF_SMALL).collect()
     for section in ("per set", "ALL"):
         assert sorted((r["feature"], r["suffix"]) for r in report if r["section"] == section) == sorted(cells)
+
+
+def test_one_saved_model_from_raw_text_to_label(spark, tmp_dir):
+    """T8, Word2Vec, mean over known words and logistic regression in one pipeline: saved, loaded in another session, used by
+    the stream's scorer; its means are those of the relational form."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from wordloom.functions.text import clean_text
+    from wordloom.operators import features as FT
+    from wordloom.operators.cleaning import DEFAULT_LEMMAS
+    from wordloom.streaming import scorer
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    index = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}
+    label = F.element_at(F.create_map(*[x for kv in index.items() for x in map(F.lit, kv)]), F.col("lang"))
+    train = docs.select("doc_id", "text", label.alias("label"))
+    model = MD.text_pipeline(train, num_partitions=1)
+    model.save(tmp_dir + "/model")
+    other = spark.newSession()
+    loaded = PipelineModel.load(tmp_dir + "/model")
+    again = loaded.transform(other.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    first = {r["doc_id"]: r["prediction"] for r in model.transform(docs).select("doc_id", "prediction").collect()}
+    assert {r["doc_id"]: r["prediction"] for r in again.select("doc_id", "prediction").collect()} == first
+    right = [first[r["doc_id"]] == r["label"] for r in train.collect() if r["doc_id"] in first]
+    assert sum(right) > 0.85 * len(right) > 0.85 * 0.9 * docs.count()
+    words = docs.select("doc_id", clean_text(F.col("text"), DEFAULT_LEMMAS).alias("words"))
+    want = {r["doc_id"]: r["features"] for r in FT.doc_vector_mean(words, MD.word_vectors(model.stages[2]), dim=100).collect()}
+    got = {r["doc_id"]: r["f"] for r in model.transform(docs).select("doc_id", vector_to_array("features").alias("f")).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(x - y) < 1e-9 for k in want for x, y in zip(got[k], want[k]))
+    keyed = docs.select("doc_id", "source", "text")
+    scored = scorer.pipeline_scorer(loaded, names=False)(keyed)
+    assert {r["row_key"].rsplit("-", 1)[1]: float(r["prediction"]) for r in scored.collect()} == {str(k): v for k, v in first.items()}
+
+
+def test_similar_words_among_all(spark):
+    """O1: the same neighbours as the model's own search, for many words at once."""
+    from wordloom.operators.corpus import word_records
+    model = MD.fit_word2vec(word_records(spark.read.parquet(f"{SF_SMALL}/documents.parquet")), vector_size=10, num_partitions=1)
+    asked = spark.createDataFrame([("the",), ("der",), ("no such word",)], "word string")
+    got = {}
+    for r in MD.similar_words(model, asked, 5).orderBy("of", "rank").collect():
+        got.setdefault(r["of"], []).append(r["word"])
+    assert sorted(got) == ["der", "the"]
+    for w, near in got.items():
+        assert near == [r["word"] for r in model.findSynonyms(w, 5).collect()]

@@ -7,7 +7,7 @@ from wordloom.streaming import scorer
 
 
 def test_stream_equals_batch_and_counts(spark):
-    paths = q_stream.run(spark, SF_SMALL)
+    paths = q_stream.run(spark, SF_SMALL, batch_bytes=100_000)
     streamed = scorer.latest_labels(spark, paths["cells"])
     model = q_stream.fitted_model(spark, SF_SMALL)
     docs = table(spark, SF_SMALL, "documents")
@@ -29,8 +29,8 @@ def test_pipeline_model_through_the_same_stream(spark):
     model = Pipeline(stages=MD.tfidf_stages() + [MD.logistic()]).fit(train)
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "source", "text")
     p = scorer.new_paths(spark)
-    scorer.stage_landing(docs, p["landing"], 3)
-    n = scorer.run_stream(spark, scorer.pipeline_scorer(model), p["landing"], docs.schema, p["cells"], p["checkpoint"])
+    scorer.stage_landing(docs.repartition(3), p["landing"])
+    n = scorer.run_stream(spark, scorer.pipeline_scorer(model), p["landing"], docs.schema, p["cells"], p["checkpoint"], 1)
     assert n >= 3
     streamed = scorer.latest_labels(spark, p["cells"])
     batch = scorer.pipeline_scorer(model)(docs).select("row_key", F.col("prediction").alias("value"))
@@ -47,7 +47,7 @@ def test_failed_batch_is_replayed_idempotently(spark):
     model = q_stream.fitted_model(spark, SF_SMALL)
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "source", "text")
     p = scorer.new_paths(spark)
-    scorer.stage_landing(docs, p["landing"], 3)
+    scorer.stage_landing(docs.repartition(3), p["landing"])
     calls = {"n": 0}
     good = scorer.wcp_scorer(model)
 
@@ -60,9 +60,55 @@ def test_failed_batch_is_replayed_idempotently(spark):
             raise RuntimeError("executor lost")
         return out
     with pytest.raises(Exception):
-        scorer.run_stream(spark, flaky, p["landing"], docs.schema, p["cells"], p["checkpoint"])
-    scorer.run_stream(spark, good, p["landing"], docs.schema, p["cells"], p["checkpoint"])   # restart
+        scorer.run_stream(spark, flaky, p["landing"], docs.schema, p["cells"], p["checkpoint"], 1)
+    scorer.run_stream(spark, good, p["landing"], docs.schema, p["cells"], p["checkpoint"], 1)   # restart
     log = spark.read.parquet(p["cells"])
     assert log.count() == docs.count()                       # one cell per record, none duplicated
     batch = scorer.score_records(model, docs).select("row_key", F.col("prediction").alias("value"))
     assert scorer.latest_labels(spark, p["cells"]).exceptAll(batch).count() == 0
+
+
+def constant(value):
+    return lambda df: scorer._keyed(df).select("row_key", F.lit(value).alias("prediction"))
+
+
+def test_two_runs_share_a_log(spark):
+    """K1: runs over different folders keep all records, a record scored again shows the newer label, a replayed run
+    changes nothing, and the compacted log says the same."""
+    from wordloom.sources import cells as C
+    docs = spark.createDataFrame([(i, "s", f"text {i}") for i in range(60)], "doc_id long, source string, text string")
+    p, q = scorer.new_paths(spark), scorer.new_paths(spark)
+    scorer.stage_landing(docs.where("doc_id < 40").repartition(3), p["landing"])
+    scorer.stage_landing(docs.where("doc_id >= 30").repartition(2), q["landing"])
+    for paths, value in ((p, "old"), (q, "new")):
+        scorer.run_stream(spark, constant(value), paths["landing"], docs.schema, p["cells"], paths["checkpoint"], 1)
+    want = {f"s-{i}": "old" if i < 30 else "new" for i in range(60)}
+    labels = lambda df: {r["row_key"]: r["value"] for r in df.collect()}
+    assert labels(scorer.latest_labels(spark, p["cells"])) == want
+    cells = spark.read.parquet(p["cells"]).count()
+    assert cells == 70
+    scorer.run_stream(spark, constant("old"), p["landing"], docs.schema, p["cells"], p["checkpoint"], 1)  # goes on with the first run: nothing is left
+    assert spark.read.parquet(p["cells"]).count() == cells and labels(scorer.latest_labels(spark, p["cells"])) == want
+    assert [(r["run"], r["batch_id"]) for r in scorer.batch_totals(spark, p["cells"]).orderBy("run", "batch_id").collect()][-1][0] == 1
+    C.compact(C.read_cells(spark, p["cells"]), p["landing"] + "-compact")
+    small = C.read_cells(spark, p["landing"] + "-compact")
+    assert small.count() == 60 and labels(C.latest(small).select("row_key", "value")) == want
+    store = spark.createDataFrame([("s-1", 0)], "row_key string, x int").select(*C.cells(F.col("row_key"), "tweet", "cleantext", F.lit("t")))
+    for value in ("third", "again"):
+        scorer.score_collection(spark, store, "s", constant(value), p["cells"], run_name="by hand")
+    assert labels(scorer.latest_labels(spark, p["cells"]))["s-1"] == "again" and spark.read.parquet(p["cells"]).count() == 71
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Files of unequal size: small ones share a batch, a large one is a batch of its own."""
+    import os
+    docs = spark.range(0, 3000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    p = scorer.new_paths(spark)
+    for n, part in enumerate((docs.where("doc_id < 2500"), docs.where("doc_id BETWEEN 2500 AND 2509"), docs.where("doc_id BETWEEN 2510 AND 2519"), docs.where("doc_id >= 2520 AND doc_id < 2530"))):
+        part.coalesce(1).write.mode("append").parquet(p["landing"])
+    sizes = sorted(os.path.getsize(f"{p['landing']}/{f}") for f in os.listdir(p["landing"]) if f.endswith(".parquet"))
+    n = scorer.run_stream(spark, constant("x"), p["landing"], docs.schema, p["cells"], p["checkpoint"], sum(sizes[:3]) + 100)
+    assert n == 2 and spark.read.parquet(p["cells"]).count() == 2530
+    empty = scorer.new_paths(spark)
+    os.makedirs(empty["landing"])
+    assert scorer.run_stream(spark, constant("x"), empty["landing"], docs.schema, empty["cells"], empty["checkpoint"]) == 0

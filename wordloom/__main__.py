@@ -2,7 +2,7 @@
 
     python -m wordloom single TRAIN TEST [--features tfidf|w2v]
     python -m wordloom grid DIR --train train --test test --suffix 1 2 [--repeats N] [--features ...]
-    python -m wordloom score LANDING --model MODEL_DIR --cells OUT [--files-per-batch N]
+    python -m wordloom score LANDING --model MODEL_DIR --cells OUT [--batch-bytes N] [--checkpoint DIR]
     python -m wordloom score-collection STORE COLLECTION_ID --model MODEL_DIR --cells OUT
     python -m wordloom reject TRAIN TEST [--delim '|'] [--threshold 0.25]
     python -m wordloom clean INPUT OUTPUT            (key;text lines -> key;cleaned lines)
@@ -98,14 +98,11 @@ def _reject(spark: SparkSession, train_path: str, test_path: str, delim: str, th
     print(f"records of class 0: {scoring.zero_class_count(scored).first()['n_zero']}")
     pred = scored.select("label", F.col("final").alias("prediction"))
     for r in metrics.per_class(pred).orderBy("label").toLocalIterator():
-        print(f"Class:{r['label']} F1 Score:{r['f1']} True Positive:{r['tpr']} False Positive:{r['fpr']} "
-              f"Precision:{r['precision']} Recall:{r['recall']}")
+        print(f"class {r['label']}: f1 {r['f1']}, recall {r['recall']}, precision {r['precision']}, "
+              f"false alarms {r['fpr']} of the others")
     o = metrics.overall(pred).first()
-    print(f"Weighted F1-Measure = {o['weighted_f1']}")
-    print(f"Weighted Precision = {o['weighted_precision']}")
-    print(f"Weighted Recall = {o['weighted_recall']}")
-    print(f"Macro F1 = {o['macro_f1']}")
-    print(f"Micro F1 = {o['micro_f1']}")
+    print(f"by class size: f1 {o['weighted_f1']}, precision {o['weighted_precision']}, recall {o['weighted_recall']}")
+    print(f"mean f1 of the classes: {o['macro_f1']}; of all records: {o['micro_f1']}")
     scored.unpersist()
 
 
@@ -128,13 +125,18 @@ def main(argv: list[str] | None = None) -> int:
     s3.add_argument("landing")
     s3.add_argument("--model", required=True)
     s3.add_argument("--cells", required=True)
-    s3.add_argument("--files-per-batch", type=int, default=1)
+    s3.add_argument("--batch-bytes", type=int, default=1 << 30)
+    s3.add_argument("--checkpoint", default=None, help="an earlier run's, to go on with it; otherwise this is a new run")
+    s8 = sub.add_parser("train")
+    s8.add_argument("input")
+    s8.add_argument("model")
+    s8.add_argument("--delim", default="|")
     s4 = sub.add_parser("score-collection")
     s4.add_argument("store")
     s4.add_argument("collection")
     s4.add_argument("--model", required=True)
     s4.add_argument("--cells", required=True)
-    s4.add_argument("--batch-id", type=int, default=0)
+    s4.add_argument("--run", default=None, help="a name, to replace that run's labels; otherwise this is a new run")
     s5 = sub.add_parser("reject")
     s5.add_argument("train")
     s5.add_argument("test")
@@ -157,6 +159,11 @@ def main(argv: list[str] | None = None) -> int:
         _print_sets([[_run(train, test, a.features)]])
     elif a.cmd == "reject":
         _reject(spark, a.train, a.test, a.delim, a.threshold)
+    elif a.cmd == "train":
+        from wordloom.plans import models
+        from wordloom.sources import delimited as D
+        models.text_pipeline(D.good(D.read_label_text(spark, a.input, delim=a.delim))).save(a.model)
+        print(f"wrote {a.model}")
     elif a.cmd == "clean":
         from wordloom.functions.text import clean_text
         from wordloom.operators.cleaning import DEFAULT_LEMMAS
@@ -182,7 +189,7 @@ def main(argv: list[str] | None = None) -> int:
         from wordloom.streaming import scorer
         model = PipelineModel.load(a.model)
         scorer.score_collection(spark, C.read_cells(spark, a.store), a.collection, scorer.pipeline_scorer(model),
-                                a.cells, a.batch_id)
+                                a.cells, a.run)
         n = scorer.latest_labels(spark, a.cells).count()
         print(f"{n} records labelled")
     else:
@@ -192,9 +199,9 @@ def main(argv: list[str] | None = None) -> int:
         model = PipelineModel.load(a.model)
         schema = spark.read.parquet(a.landing).schema
         n = scorer.run_stream(spark, scorer.pipeline_scorer(model), a.landing, schema, a.cells,
-                              scratch_path(spark, "score-checkpoint"), a.files_per_batch)
-        for r in scorer.batch_totals(spark, a.cells).orderBy("batch_id").collect():
-            print(f"batch {r['batch_id']}: {r['n_rows']} records, {r['running_total']} overall")
+                              a.checkpoint or scratch_path(spark, "score-checkpoint"), a.batch_bytes)
+        for r in scorer.batch_totals(spark, a.cells).orderBy("run", "batch_id").toLocalIterator():
+            print(f"run {r['run']} batch {r['batch_id']}: {r['n_rows']} records, {r['running_total']} overall")
         print(f"{n} batches")
     return 0
 

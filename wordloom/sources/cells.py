@@ -2,7 +2,7 @@
 
 A cell is ``(row_key, family, qualifier, ts, seq, value)``; ``seq`` breaks ties between
 versions with the same ``ts``. Writes only append (a put is an upsert: the newest version
-wins on read), so a re-run batch can overwrite its own ``batch=`` folder idempotently.
+wins on read); each batch of each run owns a folder ``run=/batch=``, which a replay overwrites.
 
 Reads: key-range scan of one collection (S7), column projection (S8), latest version per
 cell and per row (S9, S10), point look-ups (S11), value scans (S12). Writes: label names per
@@ -11,7 +11,10 @@ record (K1), training rows (K2).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
@@ -97,14 +100,51 @@ def value_scan(cell_df: DataFrame, family: str, qualifier: str, value: str) -> D
     return latest(col).where(F.col("value") == value).select("row_key", "value")
 
 
-def append_cells(cell_df: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """K1/K2 sink: append cells to the log. With ``batch_id`` the batch owns its folder and is
-    written with overwrite, so replaying a batch after a failure is idempotent."""
+@dataclass
+class Run:
+    """A run of a job that writes to a cell log: its number, which grows with time, and when it began."""
+
+    number: int = 0
+    started: int = 0
+
+
+def open_run(spark: SparkSession, path: str, name: str) -> Run:
+    """K1: the run called ``name`` of the cell log at ``path``. A name that the log's manifest knows is the same run again (a
+    job that goes on after a failure replays its batches over its own folders); a new name is a new run, whose
+    cells are newer than all before. The manifest has one small file per run, in a folder that readers skip."""
+    manifest = f"{path}/_runs"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(manifest)
+    known = []
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        known = spark.read.schema("number long, name string, started long").parquet(f"{manifest}/*").collect()
+    for r in known:
+        if r["name"] == name:
+            return Run(r["number"], r["started"])
+    run = Run(max((r["number"] for r in known), default=-1) + 1, max([int(time.time()), *[r["started"] + 1 for r in known]]))
+    spark.createDataFrame([(run.number, name, run.started)], "number long, name string, started long").coalesce(1).write.parquet(f"{manifest}/{run.number:08d}")
+    return run
+
+
+def append_cells(cell_df: DataFrame, path: str, batch_id: int | None = None, run: Run | None = None) -> None:
+    """K1/K2 sink: append cells to the log. With ``batch_id`` the batch of the run (:func:`open_run`) owns its folder and is
+    written with overwrite, so replaying a batch after a failure is idempotent and other runs are left alone."""
     out = cell_df.select(*CELL_COLS)
     if batch_id is None:
         out.write.mode("append").parquet(path)
     else:
-        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        out.write.mode("overwrite").parquet(f"{path}/run={(run or Run()).number}/batch={batch_id}")
+
+
+def count_batches(spark: SparkSession, path: str, run: Run) -> int:
+    """Batches that a run has written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run={run.number}/batch=*")
+    return len(folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or [])
+
+
+def compact(cell_df: DataFrame, path: str) -> None:
+    """The newest version of every cell, as a keyed store of its own at ``path`` (see :func:`write_store`)."""
+    newest = cell_df.groupBy("row_key", "family", "qualifier").agg(F.max_by(F.struct("ts", "seq", "value"), F.struct("ts", "seq")).alias("c"))
+    write_store(newest.select("row_key", "family", "qualifier", "c.ts", "c.seq", "c.value"), path)
 
 
 def read_cells(spark, path: str) -> DataFrame:
@@ -119,10 +159,11 @@ def write_store(cell_df: DataFrame, path: str) -> None:
      .write.mode("overwrite").parquet(path))
 
 
-def label_cells(pred: DataFrame, id_col: str, name_col: str, batch: int) -> DataFrame:
-    """K1: label name per record id into ``clean-tweet:real-world-events``."""
+def label_cells(pred: DataFrame, id_col: str, name_col: str, batch: int, run: Run | None = None) -> DataFrame:
+    """K1: label name per record id into ``clean-tweet:real-world-events``. The version is when the run began, then
+    the batch."""
     return pred.select(*cells(F.col(id_col), K.LABEL_FAMILY, K.LABEL_QUALIFIER, F.col(name_col),
-                              ts=F.timestamp_seconds(F.lit(batch)), seq=F.lit(batch)))
+                              ts=F.timestamp_seconds(F.lit((run or Run()).started)), seq=F.lit(batch)))
 
 
 def training_cells(records: DataFrame, id_col: str = "id", label: str = "label", text: str = "text",
