@@ -2,12 +2,19 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+
 from wordloom import constants as K
 from wordloom.sources import cells as C
 
 SCHEMA = "row_key string, family string, qualifier string, ts timestamp, seq bigint, value string"
 
 
+def plan_text(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 def cells_df(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
@@ -64,3 +71,29 @@ def test_training_cells_roundtrip(spark, tmp_dir):
         .collect()[0]["value"] == "1.0"
     back = sorted(tuple(r) for r in C.training_records(cells).collect())
     assert back == [("1", 1.0, "t1"), ("3", 0.0, "t3")]
+
+
+def test_store_look_ups_skip_folders_and_row_groups(spark, tmp_dir, monkeypatch):
+    """Folders and keys reach the scan; many keys give the same by a join; a store is written once for three queries."""
+    from wordloom.plans import q_cells
+    rows = spark.range(0, 4000).select(F.concat_ws("-", F.concat(F.lit("c"), F.col("id") % 50), F.col("id")).alias("k"), F.col("id"))
+    C.write_store(rows.select(*C.cells(F.col("k"), "f", "q", F.col("id"))), tmp_dir + "/store")
+    store = C.read_store(spark, tmp_dir + "/store")
+    keys = rows.where("id IN (7, 57, 3999)").select(F.col("k").alias("row_key"))
+    got = C.point_lookup(store, keys, "f", "q")
+    plan = plan_text(got)
+    assert "bucket#" in plan.split("PartitionFilters: ")[1].split("PushedFilters: ")[0]
+    assert "In(row_key, [" in plan
+    want = {("c7-7", "7"), ("c7-57", "57"), ("c49-3999", "3999")}
+    assert {tuple(r) for r in got.collect()} == want
+    monkeypatch.setattr(C, "MAX_KEY_FILTER", 1)
+    assert {tuple(r) for r in C.point_lookup(store, keys, "f", "q").collect()} == want
+    assert C.point_lookup(store, keys.limit(0), "f", "q").count() == 0
+    scan = C.scan_collection(store, "c7", "f", "q")
+    assert scan.count() == 80 and "bucket#" in plan_text(scan).split("PartitionFilters: ")[1].split("PushedFilters: ")[0]
+    q_cells._stores.clear()
+    written = []
+    monkeypatch.setattr(C, "write_store", lambda df, path, f=C.write_store: (written.append(path), f(df, path)))
+    for q in (q_cells.q_collection_scan, q_cells.q_point_lookup, q_cells.q_value_scan):
+        q(spark, SF_SMALL).count()
+    assert len(written) == 1

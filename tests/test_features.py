@@ -45,6 +45,16 @@ def test_pattern_flags_sparse(spark):
     assert got == [(1, 0), (1, 1), (2, 1)]
 
 
+def test_pattern_flags_against_all_pairs(spark):
+    """Repeated items and tokens, patterns without items or with unknown ones, ties of rarity, texts without tokens."""
+    import random
+    rng = random.Random(4)
+    texts = [(i, [f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(rng.randrange(12))]) for i in range(150)] + [(150, None), (151, [])]
+    sets = [(k, [f"w{rng.randrange(31)}" for _ in range(rng.randrange(5))]) for k in range(80)]
+    got = P.pattern_flags(spark.createDataFrame(texts, "doc_id int, toks array<string>"), "toks", spark.createDataFrame(sets, "pattern_id int, items array<string>"))
+    assert sorted((r["doc_id"], r["pattern_id"]) for r in got.collect()) == [(i, k) for i, t in texts for k, s in sets if s and set(s) <= set(t or [])]
+
+
 def test_wcp_scores_smoothing(spark):
     import math
     tr = spark.createDataFrame([(0, "x", "a a b"), (1, "y", "b")], "doc_id int, label string, words string")

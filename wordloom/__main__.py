@@ -188,7 +188,7 @@ def main(argv: list[str] | None = None) -> int:
         from wordloom.sources import cells as C
         from wordloom.streaming import scorer
         model = PipelineModel.load(a.model)
-        scorer.score_collection(spark, C.read_cells(spark, a.store), a.collection, scorer.pipeline_scorer(model),
+        scorer.score_collection(spark, spark.read.parquet(a.store), a.collection, scorer.pipeline_scorer(model),
                                 a.cells, a.run)
         n = scorer.latest_labels(spark, a.cells).count()
         print(f"{n} records labelled")

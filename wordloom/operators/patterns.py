@@ -10,6 +10,10 @@ from wordloom import constants as K
 from wordloom.operators.common import MAX_BROADCAST_ROWS, has_at_most, maybe_broadcast
 
 
+# Patterns whose inverted list is broadcast on the strength of a count.
+MAX_INDEX_ROWS = 20_000
+
+
 def baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Transactions ``(l_orderkey, items)``: the distinct brands of an order in first-seen
     (line number) order.
@@ -43,16 +47,24 @@ def frequent_itemsets(transactions: DataFrame, items: str = "items", min_support
 def pattern_flags(docs: DataFrame, tokens_col: str, patterns: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, pattern_id, flag=1.0)`` for every text that holds all items of a pattern.
 
-    A set-containment equi-join: distinct tokens of a text meet pattern items on the token,
-    and a text holds a pattern when the matched item count equals the pattern size. Only
-    present patterns are emitted (sparse), so there is no text x pattern product.
-    ``patterns`` is ``(pattern_id, items array<string>)``.
-    """
-    items = (patterns.select("pattern_id", F.array_distinct("items").alias("items"))
-             .select("pattern_id", F.size("items").alias("n_items"), F.explode("items").alias("token")))
-    small = has_at_most(items, MAX_BROADCAST_ROWS)
-    toks = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array_distinct(tokens_col)).alias("token"))
-    return (toks.join(maybe_broadcast(items, small), "token")
-            .groupBy("doc_id", "pattern_id").agg(F.count(F.lit(1)).alias("hit"), F.first("n_items").alias("n_items"))
-            .where(F.col("hit") == F.col("n_items"))
-            .select("doc_id", "pattern_id", F.lit(1.0).alias("flag")))
+    Texts are first reduced to those of their distinct tokens that some pattern has. An inverted list has each pattern
+    once, under its rarest item (the one that the fewest texts hold, ties to the smaller item; a pattern with an item that
+    no text holds is left out). A text looks up its tokens there, so it meets only patterns whose rarest item
+    it has, and compares these with its tokens in the row. Only present patterns are emitted.
+    ``patterns`` is ``(pattern_id, items array<string>)``, of any number; a pattern without items is never present."""
+    wanted = patterns.select("pattern_id", F.array_distinct("items").alias("items")).where(F.size("items") > 0).checkpoint()
+    items = wanted.select(F.explode("items").alias("token")).distinct()
+    each = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array_distinct(tokens_col)).alias("token"))
+    held = (each.join(maybe_broadcast(items, has_at_most(items, MAX_BROADCAST_ROWS)), "token", "left_semi")
+            .groupBy("doc_id").agg(F.collect_set("token").alias("held")).checkpoint())
+    each = held.select("doc_id", F.explode("held").alias("token"))
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    entries = wanted.select("pattern_id", "items", F.explode("items").alias("token")).join(often, "token", "left")
+    index = (entries.groupBy("pattern_id").agg(F.min_by("token", F.struct("n", "token")).alias("token"), F.first("items").alias("items"),
+                                               F.count("n").alias("known"))
+             .where(F.col("known") == F.size("items")).select("token", "pattern_id", "items").checkpoint())
+    met = (each.join(maybe_broadcast(index, has_at_most(index, MAX_INDEX_ROWS)), "token")
+           .groupBy("doc_id").agg(F.collect_list(F.struct("pattern_id", "items")).alias("met")))
+    present = F.filter("met", lambda p: F.size(F.array_except(p["items"], F.col("held"))) == 0)
+    both = met.withColumnRenamed("doc_id", "_id").join(held, F.col("_id").eqNullSafe(F.col("doc_id")))
+    return both.select("doc_id", F.explode(F.transform(present, lambda p: p["pattern_id"])).alias("pattern_id")).select("doc_id", "pattern_id", F.lit(1.0).alias("flag"))

@@ -27,12 +27,18 @@ def collection_cells(spark, sf):
     return text.unionByName(lang)
 
 
+_stores: dict[tuple[str, str], str] = {}
+
+
 def collection_store(spark, sf):
-    """The collection as a keyed store at rest (written once to the shared folder, sorted by
-    key); scans and look-ups then read it with their predicates pushed into Parquet."""
-    path = scratch_path(spark, "collection-store")
-    C.write_store(collection_cells(spark, sf), path)
-    return C.read_cells(spark, path)
+    """The collection as a keyed store at rest, in the shared folder. It is written once in an application for each folder
+    of tables; the reading queries share it."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _stores:
+        path = scratch_path(spark, "collection-store")
+        C.write_store(collection_cells(spark, sf), path)
+        _stores[key] = path
+    return C.read_store(spark, _stores[key])
 
 
 def event_cells(spark, sf):

@@ -153,8 +153,7 @@ def q_wcp_features(spark, sf):
     return _wcp_scores(spark, sf).select("doc_id", "label", F.round("score", 4).alias("score"))
 
 
-@register("frequent_itemsets", f"""
-WITH RECURSIVE b AS (SELECT DISTINCT l.l_orderkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+ITEMSETS_SQL = f"""WITH RECURSIVE b AS (SELECT DISTINCT l.l_orderkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 mc AS (SELECT ceil(CAST({FP_SUPPORT} AS DOUBLE) * count(DISTINCT l_orderkey)) AS mc FROM b),
 s AS (
   SELECT l_orderkey, p_brand AS items, p_brand AS last, 1 AS n FROM b
@@ -163,7 +162,11 @@ s AS (
   SELECT s.l_orderkey, s.items || ' ' || b.p_brand, b.p_brand, s.n + 1
   FROM s JOIN b ON b.l_orderkey = s.l_orderkey AND b.p_brand > s.last
   QUALIFY count(*) OVER (PARTITION BY s.items || ' ' || b.p_brand) >= (SELECT mc FROM mc))
-SELECT items, CAST(n AS BIGINT) AS n_items, count(*) AS freq FROM s GROUP BY 1, 2
+"""
+
+
+@register("frequent_itemsets", f"""
+{ITEMSETS_SQL}SELECT items, CAST(n AS BIGINT) AS n_items, count(*) AS freq FROM s GROUP BY 1, 2
 """)
 def q_frequent_itemsets(spark, sf):
     """FP-growth over order baskets; item sets of every size."""
@@ -174,6 +177,16 @@ def q_frequent_itemsets(spark, sf):
     return fi.select(F.array_join("items", " ").alias("items"), F.size("items").cast("bigint").alias("n_items"), "freq")
 
 
+@register("itemset_flags", f"""
+{ITEMSETS_SQL}SELECT l_orderkey AS doc_id, items AS pattern_id, 1.0::DOUBLE AS flag FROM s
+""")
+def q_itemset_flags(spark, sf):
+    """F12 on F11: which orders hold which of the mined item sets."""
+    b = P.baskets(table(spark, sf, "lineitem"), table(spark, sf, "part")).checkpoint(eager=True)
+    sets = P.frequent_itemsets(b, "items", FP_SUPPORT).select(F.array_join("items", " ").alias("pattern_id"), "items")
+    return P.pattern_flags(b, "items", sets, "l_orderkey")
+
+
 _pat_sql = ", ".join(f"({i}, {S.lit(w)})" for i, p in enumerate(PATTERNS) for w in p)
 
 

@@ -18,7 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom import constants as K
-from wordloom.operators.common import MAX_BROADCAST_ROWS, has_at_most, maybe_broadcast
+from wordloom.operators.common import MAX_BROADCAST_ROWS, maybe_broadcast
+
+#: Folders of a keyed store: keys are dealt by a hash of what stands before their first '-' (the collection).
+STORE_BUCKETS = 64
+#: Keys of a look-up that go to the scan as a filter; more are joined.
+MAX_KEY_FILTER = 10_000
 
 CELL_COLS = ["row_key", "family", "qualifier", "ts", "seq", "value"]
 
@@ -54,8 +59,11 @@ def scan_collection(cell_df: DataFrame, collection_id: str, family: str = K.COLL
     """S7 + S8 + S9: latest value of one column for every row of one collection.
 
     The key range and the column are plain predicates on stored columns, so Parquet gets them
-    as pushed filters (row-group min/max skipping on ``row_key``)."""
+    as pushed filters (row-group min/max skipping on ``row_key``); of a keyed store only the collection's folder
+    is read."""
     lo, hi = prefix_range(collection_id)
+    if "bucket" in cell_df.columns:
+        cell_df = cell_df.where(F.col("bucket") == store_bucket(F.lit(collection_id)))
     sel = cell_df.where((F.col("row_key") >= lo) & (F.col("row_key") < hi)
                         & (F.col("family") == family) & (F.col("qualifier") == qualifier))
     return latest(sel).select("row_key", "value")
@@ -84,13 +92,24 @@ def latest_row(cell_df: DataFrame, family: str, qualifiers: list[str]) -> DataFr
 
 def point_lookup(cell_df: DataFrame, keys: DataFrame, family: str, qualifier: str,
                  key_col: str = "row_key") -> DataFrame:
-    """S11 for many keys at once: semi-join of the column's cells with a key table, then the
-    newest version. The key table is broadcast only when proven small."""
+    """S11 for many keys at once: the newest version of the column for each of a table of keys.
+
+    One pass over the keys gives their number, least and greatest, and the store folders they lie in (``STORE_BUCKETS`` at
+    most). Folders and key range always go to the scan as filters, so other folders and row groups are not read; up
+    to ``MAX_KEY_FILTER`` keys go there themselves, more are semi-joined."""
     col = cell_df.where((F.col("family") == family) & (F.col("qualifier") == qualifier))
-    k = keys.select(F.col(key_col).cast("string").alias("row_key")).distinct()
-    small = has_at_most(k, MAX_BROADCAST_ROWS)
-    hit = col.join(maybe_broadcast(k, small), "row_key", "left_semi")
-    return latest(hit).select("row_key", "value")
+    k = keys.select(F.col(key_col).cast("string").alias("row_key")).where(F.col("row_key").isNotNull()).distinct().checkpoint()
+    n, lo, hi, buckets = k.agg(F.count(F.lit(1)), F.min("row_key"), F.max("row_key"), F.collect_set(store_bucket(F.col("row_key")))).first()
+    if not n:
+        return latest(col.limit(0)).select("row_key", "value")
+    if "bucket" in cell_df.columns:
+        col = col.where(F.col("bucket").isin(buckets))
+    col = col.where(F.col("row_key").between(lo, hi))
+    if n <= MAX_KEY_FILTER:
+        col = col.where(F.col("row_key").isin([r["row_key"] for r in k.collect()]))
+    else:
+        col = col.join(maybe_broadcast(k, n <= MAX_BROADCAST_ROWS), "row_key", "left_semi")
+    return latest(col).select("row_key", "value")
 
 
 def value_scan(cell_df: DataFrame, family: str, qualifier: str, value: str) -> DataFrame:
@@ -151,12 +170,22 @@ def read_cells(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*CELL_COLS)
 
 
+def store_bucket(row_key: Column) -> Column:
+    """The folder of a key in a keyed store; all keys of a collection share one."""
+    return F.pmod(F.xxhash64(F.substring_index(row_key, "-", 1)), F.lit(STORE_BUCKETS)).cast("int")
+
+
 def write_store(cell_df: DataFrame, path: str) -> None:
-    """Lay cells out as a keyed store: range-partitioned and sorted by ``row_key``, so every file
-    and row group covers a narrow key range and Parquet min/max statistics let a key-range
-    scan (S7) or point lookup (S11) skip everything outside it."""
-    (cell_df.select(*CELL_COLS).repartitionByRange("row_key").sortWithinPartitions("row_key", "family", "qualifier")
-     .write.mode("overwrite").parquet(path))
+    """Lay cells out as a keyed store: a folder for each bucket of collections, in it files that are range-partitioned and
+    sorted by ``row_key``. A large collection has many files, each with a narrow key range, so folder filters and
+    Parquet min/max statistics let a key-range scan (S7) or point lookup (S11) skip everything outside."""
+    (cell_df.select(*CELL_COLS, store_bucket(F.col("row_key")).alias("bucket")).repartitionByRange("bucket", "row_key")
+     .sortWithinPartitions("bucket", "row_key", "family", "qualifier").write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The cells of a keyed store, with their folder (``bucket``)."""
+    return spark.read.parquet(path).select(*CELL_COLS, "bucket")
 
 
 def label_cells(pred: DataFrame, id_col: str, name_col: str, batch: int, run: Run | None = None) -> DataFrame:
