@@ -48,10 +48,22 @@ def test_score(spark, tmp_dir):
     train = word_records(d.withColumn("y", F.when(F.col("lang") == "en", 1.0).otherwise(2.0)), label="y")
     Pipeline(stages=models.tfidf_stages() + [models.logistic()]).fit(train).write().overwrite().save(tmp_dir + "/model")
     d.select("doc_id", "source", "text").repartition(2).write.mode("overwrite").parquet(tmp_dir + "/landing")
-    lines = _run(["score", tmp_dir + "/landing", "--model", tmp_dir + "/model", "--cells", tmp_dir + "/cells"])
+    lines = _run(["score", tmp_dir + "/landing", "--model", tmp_dir + "/model", "--cells", tmp_dir + "/cells", "--batch-bytes", "1"])
     assert lines[-1] == "2 batches" and lines[-2].endswith(f"{d.count()} overall")
 
 
+def test_train_then_score(spark, tmp_dir):
+    """A model trained from a labelled file, cleaning included, is loaded and scores raw text."""
+    d = table(spark, SF_SMALL, "documents")
+    lines = d.select(F.concat(F.when(F.col("lang") == "en", "1").otherwise("2"), F.lit("|"), F.translate("text", "|\n\r", "   ")).alias("value"))
+    lines.coalesce(1).write.text(tmp_dir + "/labelled")
+    _run(["train", tmp_dir + "/labelled", tmp_dir + "/whole"])
+    d.select("doc_id", "source", "text").write.parquet(tmp_dir + "/in")
+    out = _run(["score", tmp_dir + "/in", "--model", tmp_dir + "/whole", "--cells", tmp_dir + "/out"])
+    assert out[-1] == "1 batches"
+    assert {r["value"] for r in spark.read.parquet(tmp_dir + "/out").select("value").distinct().collect()} == {"ChinaFactoryExplosion", "KentuckyAccidentalChildShooting"}
+
+
 def test_score_collection(spark, tmp_dir):
     from pyspark.ml import Pipeline
     from wordloom import constants as K
