@@ -16,7 +16,9 @@ tokens are emitted at once, as the rank files define) and is remembered within a
 **Decoding.** Tokens are bytes, and a character may be split between tokens. A small state machine over lead
 and continuation bytes holds back an unfinished character until it is complete.
 
-Null and empty texts have no tokens, and the digests of the empty string.
+Null and empty texts have no tokens, and the digests of the empty string. A text of any length is encoded whole; a match as
+long as the text is worked through ``STRIDE`` bytes at a time. Repeated rows give repeated rows, an empty table an empty one;
+other columns are ignored, whatever their names, and rows without an id keep their null id.
 """
 
 from __future__ import annotations
@@ -32,12 +34,16 @@ from pyspark.sql import DataFrame
 
 from wordloom.llm.base import map_slices, register, table
 
-#: Matches whose ids a worker remembers (the first ones: frequent matches come early), and states.
+#: Matches whose ids a worker remembers (two generations of half as many: a new word returns soon or never), and states.
 CACHE_PIECES = 200_000
 MAX_STATES = 150_000
 #: Ids decoded at a time.
 DECODE_IDS = 4096
+#: Bytes worked through at a time where the states are not remembered.
+STRIDE = 32
 NEVER = 1 << 62
+#: Stands for the last emitted token where no token can follow it any more: what lies before then makes no difference.
+PAST = -2
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -49,7 +55,10 @@ class Ranks:
         #: Proper beginnings of tokens: where a token may still be under way.
         self.begun = {b[:k] for b in ranks for k in range(1, len(b))}
         self.bytes = {i: b for b, i in ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: byte string -> (id or -1, may a token still be under way?)
+        self.nodes = dict.fromkeys(self.begun, (-1, True)) | {b: (i, b in self.begun) for b, i in ranks.items()}
+        #: left << 32 | right -> compatible?
+        self.pairs: dict[int, bool] = {}
         self._splits: dict[int, tuple[int, int] | None] = {}
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -73,13 +82,12 @@ class Ranks:
         """Does merging the bytes of both alone give back these two? Walks back in time from both: whichever
         was made last is split, and the two parts next to the boundary must never have been mergeable before
         they were used up. Of equal ranks the leftmost merge comes first."""
-        got = self._pairs.get((left, right))
-        if got is not None:
-            return got
-        if len(self._pairs) > 300_000:
-            self._pairs.clear()
-        x, y, x_until, y_until, ok = left, right, NEVER, NEVER, True
-        while True:
+        if left < 0:
+            return self.is_reachable(right)
+        if len(self.pairs) > 300_000:
+            self.pairs.clear()
+        x, y, x_until, y_until, ok = left, right, NEVER, NEVER, self.is_reachable(right)
+        while ok:
             joint = self.ranks.get(self.bytes[x] + self.bytes[y], NEVER)
             if joint < x_until and joint <= y_until and joint != NEVER:
                 ok = False
@@ -92,7 +100,7 @@ class Ranks:
                 x, x_until = self.split(x)[1], x
             else:
                 y, y_until = self.split(y)[0], y
-        self._pairs[left, right] = ok
+        self.pairs[left << 32 | right] = ok
         return ok
 
 
@@ -100,7 +108,7 @@ class Transducer:
     """A state is (tail, lasts, starts, live): the bytes read since the last emitted token; for each prefix of
     the tail the last token of its encoding and where that token starts (the first entry is the emitted past);
     and the prefixes after which the bytes so far begin some token. The first ``MAX_STATES`` states are
-    remembered, these are the frequent ones; what lies beyond is worked out again when it is met."""
+    remembered, these are the frequent ones; what lies beyond is worked out again when it is met, ``STRIDE`` bytes at a time."""
 
     START = (b"", (-1,), (0,), ())
 
@@ -121,62 +129,67 @@ class Transducer:
             at = starts[at]
         return tuple(out[::-1])
 
-    def step(self, named: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
-        """(next state, emitted tokens)."""
-        tail, lasts, starts, live = named
-        n = len(tail)
-        tail += bytes((byte,))
-        r, still, at, token = self.r, [], -1, None
-        for k in (*live, n):
-            piece = tail[k:]
-            if at < 0:  # exactly one token that ends here continues an encoding
-                token = r.ranks.get(piece)
-                if token is not None and r.is_reachable(token) and (lasts[k] == -1 or r.compatible(lasts[k], token)):
-                    at = k
-            if piece in r.begun:
-                still.append(k)
-        if at < 0:
-            raise ValueError(f"byte {byte} is not a token")
-        lasts, starts = (*lasts, token), (*starts, at)
+    def step(self, named: tuple, more: bytes) -> tuple[tuple, tuple[int, ...]]:
+        """(next state, emitted tokens) after one byte or several."""
+        tail, lasts, starts, live = named[0] + more, list(named[1]), list(named[2]), named[3]
+        node, pairs, compatible = self.r.nodes.get, self.r.pairs.get, self.r.compatible
+        for n in range(len(named[0]), len(tail)):
+            at, still = -1, []
+            for k in (*live, n):
+                token, begun = node(tail[k:n + 1], (-1, False))
+                if at < 0 and token >= 0:  # exactly one token that ends here continues an encoding
+                    ok = pairs(lasts[k] << 32 | token)
+                    if compatible(lasts[k], token) if ok is None else ok:
+                        at = k
+                        lasts.append(token)
+                        starts.append(k)
+                if begun:
+                    still.append(k)
+            if at < 0:
+                raise ValueError(f"byte {tail[n]} is not a token")
+            live = still
         # A later token starts at the end or at a live prefix; their encodings agree up to where they meet.
-        meet = n + 1
-        for other in still[::-1]:
+        meet = len(tail)
+        for other in live[::-1]:
             while meet != other:
                 if meet > other:
                     meet = starts[meet]
                 else:
                     other = starts[other]
             if not meet:
-                return (tail, lasts, starts, tuple(still)), ()
+                break
         out = self._path(lasts, starts, meet)
-        return (tail[meet:], lasts[meet:], tuple(max(x - meet, 0) for x in starts[meet:]), tuple(k - meet for k in still)), out
+        last = lasts[meet] if not live or live[0] == meet else PAST
+        return (tail[meet:], (last, *lasts[meet + 1:]), tuple([max(x - meet, 0) for x in starts[meet:]]), tuple([k - meet for k in live])), out
 
-    def _learn(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]] | None:
-        """Remember a move; None if the bound is reached."""
-        named, out = self.step(self.names[state], byte)
+    def _learn(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
+        """Remember a move."""
+        named, out = self.step(self.names[state], bytes((byte,)))
         to = self.states.get(named[:2])
         if to is None:
-            if len(self.names) >= MAX_STATES:
-                return None
             to = self.states[named[:2]] = len(self.names)
             self.names.append(named)
         move = self.moves[state << 8 | byte] = (to, out) if out else to
         return move
 
     def encode(self, data: bytes) -> list[int]:
-        state, named, out, known = 0, None, [], self.moves.get
-        for byte in data:
+        state, named, out, known, at, n = 0, None, [], self.moves.get, 0, len(data)
+        while at < n:
             if named is None:  # in a remembered state
-                move = known(state << 8 | byte)
-                if move is None and (move := self._learn(state, byte)) is None:
-                    named = self.names[state]
-                elif move.__class__ is int:
+                move = known(state << 8 | data[at])
+                if move is None and len(self.names) < MAX_STATES:
+                    move = self._learn(state, data[at])
+                if move.__class__ is int:
                     state = move
-                else:
+                elif move is not None:
                     state, emitted = move
                     out += emitted
+                else:
+                    named = self.names[state]
+                at += move is not None
             if named is not None:
-                named, emitted = self.step(named, byte)
+                named, emitted = self.step(named, data[at:at + STRIDE])
+                at += STRIDE
                 out += emitted
                 state = self.states.get(named[:2])
                 if state is not None:
@@ -197,14 +210,20 @@ class Pieces(dict):
 
     def __init__(self, ranks: Ranks):
         super().__init__()
-        self.ranks, self.fst = ranks, Transducer(ranks)
+        self.ranks, self.fst, self.older = ranks, Transducer(ranks), {}
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.ranks.ranks.get(data)
-        ids = array("I", [whole] if whole is not None else self.fst.encode(data)).tobytes()
-        if len(data) <= 64 and len(self) < CACHE_PIECES:
-            self[piece] = ids
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            whole = self.ranks.ranks.get(data)
+            ids = array("I", [whole] if whole is not None else self.fst.encode(data)).tobytes()
+            if len(data) > 64:
+                return ids
+        if len(self) >= CACHE_PIECES // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
