@@ -1,17 +1,17 @@
 """Language identification by hierarchical discrimination.
 
 First a one-versus-one vote of linear support vector machines picks the language *family*; then the machines
-between the languages of that family pick the language. Features are hashed counts of character 1-, 2- and
-3-grams (bytes of the lower-cased letters, words parted by one space), damped and scaled to unit length, over
-the whole text.
+between the languages of that family pick the language. Features are hashed counts of byte trigrams (of the
+lower-cased letters, words parted by one space), damped and scaled to unit length, over the whole text, however
+long it is.
 
 The machines (squared hinge loss, L2 penalty) are fitted on at most ``PER_LANG`` training documents of each
 language, those first in hash order of the id; that bound is the only sample. ``FAMILIES`` may name any
 languages; one it doesn't list is a family of its own.
 
 A text that is null or has no letter is ``und`` with score 0. With no training text every prediction is
-``und``. With one language every other text gets it. Repeated rows give repeated rows; other columns of the
-input are ignored.
+``und``. With one language every other text gets it. Repeated rows give repeated rows, an empty table an empty
+one; other columns of the input are ignored, whatever their names. Ties between classes go to the larger summed margin.
 """
 
 from __future__ import annotations

@@ -100,57 +100,83 @@ def _anchors_of(data: bytes, powers: Powers, length: int, gram: int, begin: int,
     return pos, grams[pos].view(np.int64), around.view(np.int64), pos - last, pos - first
 
 
-def suffix_ranks(symbols: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Prefix doubling: the k-th array ranks all suffixes by their first 2^k symbols, the last by ``depth``.
-    Past the end lie symbols smaller than all others."""
-    ranks = [np.unique(symbols, return_inverse=True)[1].astype(np.int32)]
-    have, n = 1, len(symbols)
-    while have < depth:
+def suffix_ranks(symbols: np.ndarray, depth: int) -> tuple[list[np.ndarray], int]:
+    """Prefix doubling, from as many symbols as fit 63 bits: (ranks, m), where the k-th array ranks all suffixes by their first
+    m * 2^k symbols, the last by ``depth``. A rank is the number of smaller suffixes; one that no other suffix shares is final,
+    so only the rest is sorted again. Past the end lie symbols smaller than all others."""
+    n, bits = len(symbols), max(int(symbols.max(initial=0)) + 1, 1).bit_length()
+    m = min(1 << (63 // bits).bit_length() - 1, 1 << depth.bit_length() - 1)
+    padded = np.concatenate((symbols + 1, np.zeros(m - 1, np.int64)))
+    key = np.zeros(n, np.int64)
+    for k in range(m):
+        key = key << bits | padded[k:k + n]
+    rank, todo, ranks, have = np.zeros(n, np.int32), np.arange(n), [], m
+    while True:
+        order = np.argsort(key)
+        todo, key = todo[order], key[order]
+        new = np.ones(len(todo), bool)
+        new[1:] = key[1:] != key[:-1]
+        old = rank[todo]
+        parted = np.ones(len(todo), bool)
+        parted[1:] = old[1:] != old[:-1]
+        at = np.arange(len(todo))
+        rank = rank.copy()
+        rank[todo] = old + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(parted, at, 0))
+        ranks.append(rank)
+        if have >= depth:
+            return ranks, m
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        todo = todo[shared]
         step = min(have, depth - have)
-        r = ranks[-1]
-        then = np.zeros(n, np.int64)
-        then[:n - step] = r[step:] + 1
-        ranks.append(np.unique(r.astype(np.int64) * (n + 1) + then, return_inverse=True)[1].astype(np.int32))
+        then = np.where(todo + step < n, rank[np.minimum(todo + step, n - 1)] + 1, 0)
+        key = rank[todo].astype(np.int64) * (n + 1) + then
         have += step
-    return ranks
 
 
-def common_prefix(ranks: list[np.ndarray], i: np.ndarray, j: np.ndarray, depth: int) -> np.ndarray:
-    """Length of the common prefix of the suffixes at i and j, up to ``depth``; -1 for j < 0."""
-    n = len(ranks[0])
+def common_prefix(symbols: np.ndarray, ranks: list[np.ndarray], m: int, i: np.ndarray, j: np.ndarray, depth: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at i and j, up to ``depth``."""
+    n = len(symbols)
     got = np.where(ranks[-1][i] == ranks[-1][j], depth, 0)
-    x, y, open_ = i.copy(), j.copy(), (got < depth) & (j >= 0)
+    x, y, open_ = i, j, got < depth
     for k in range(len(ranks) - 2, -1, -1):
-        inside = open_ & (np.maximum(x, y) + (1 << k) <= n)
+        inside = open_ & (np.maximum(x, y) + (m << k) <= n)
         same = inside & (ranks[k][np.minimum(x, n - 1)] == ranks[k][np.minimum(y, n - 1)])
-        got = got + np.where(same, 1 << k, 0)
-        x, y = x + np.where(same, 1 << k, 0), y + np.where(same, 1 << k, 0)
-    return np.where(j < 0, -1, np.minimum(got, depth))
-
-
-def nearest_smaller(p: np.ndarray) -> np.ndarray:
-    """For each place the nearest place before it with a smaller value, or -1. Jumps along the answers so far."""
-    at = np.arange(-1, len(p) - 1)
+        got, x, y = (v + np.where(same, m << k, 0) for v in (got, x, y))
+    same = open_
+    for _ in range(m - 1):
+        same = same & (np.maximum(x, y) < n)
+        same = same & (symbols[np.minimum(x, n - 1)] == symbols[np.minimum(y, n - 1)])
+        got, x, y = (v + same for v in (got, x, y))
+    return np.minimum(got, depth)
+
+
+def nearest_smaller(p: np.ndarray, adjacent: np.ndarray) -> np.ndarray:
+    """For each place of the suffix order the length of what its suffix has in common with the one at the nearest place before
+    it with a smaller value of ``p``, 0 without such a place. ``adjacent`` has these lengths for the places right before. Jumps
+    along the answers so far; what two suffixes have in common is the least of what lies between them."""
+    at, common = np.arange(-1, len(p) - 1), adjacent.copy()
     todo = np.arange(len(p))
     while len(todo):
         todo = todo[at[todo] >= 0]
         todo = todo[p[at[todo]] > p[todo]]
-        at[todo] = at[at[todo]]
-    return at
+        via = at[todo]
+        common[todo] = np.minimum(common[todo], common[via])
+        at[todo] = at[via]
+    return common
 
 
 def factors(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(longest previous factor, longest next factor) at every position, up to ``depth``."""
-    ranks = suffix_ranks(symbols, depth)
+    ranks, m = suffix_ranks(symbols, depth)
     order = np.argsort(ranks[-1], kind="stable")  # the suffix array
+    before = np.zeros(len(order), np.int32)
+    before[1:] = common_prefix(symbols, ranks, m, order[1:], order[:-1], depth)
+    after = np.zeros(len(order), np.int32)
+    after[1:] = before[:0:-1]
 
     def longest(p: np.ndarray) -> np.ndarray:
-        before = nearest_smaller(p)
-        after = len(p) - 1 - nearest_smaller(p[::-1])[::-1]
-        out = np.zeros(len(p), np.int64)
-        for near in (before, np.where(after < len(p), after, -1)):
-            out = np.maximum(out, common_prefix(ranks, order, np.where(near >= 0, order[near], -1), depth))
-        return out
+        return np.maximum(nearest_smaller(p, before), nearest_smaller(p[::-1], after)[::-1])
 
     lpf, lnf = np.zeros(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
     lpf[order], lnf[order] = longest(order), longest(-order)
