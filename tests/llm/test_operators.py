@@ -405,7 +405,7 @@ def test_nearest_neighbours(spark):
         d[q] = np.inf
         want = np.lexsort((np.arange(4000), d))[:10]
         found = sorted(found)
-        assert [r for r, _, _ in found] == list(range(1, 11))
+        assert [r for r, _, _ in found] == list(range(1, 14))
         assert all(abs(s - d[v]) < 1e-12 for _, v, s in found)
         hits += len({v for _, v, _ in found} & set(want.tolist()))
         if 2000 <= q < 2600:
@@ -435,7 +435,7 @@ def test_odd_and_empty_tables(spark, odd):
 
 
 def test_queries_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_hot_keys_join_once(spark):

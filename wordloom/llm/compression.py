@@ -8,8 +8,10 @@ its whole ratio leaves its band, or if more than half of its full chunks leave t
 Before the bands come plain rules on the words (runs without ASCII white space): fewer than ``MIN_WORDS``
 words, or more than ``MAX_REPEAT_PCT`` percent of the words in 5-word windows that occur twice or more.
 
-Null and empty texts have no word, fail the base rules, and have a null ratio. Repeated rows give repeated
-rows. Other columns of the input are ignored.
+Null and empty texts have no word, fail the base rules, and have a null ratio. A very long text is judged whole, in one
+task, with a few times its bytes in memory. A ratio equal to a limit lies inside its band, and half of the chunks is not
+more than half. Repeated rows give repeated rows, an empty table an empty one; other columns of the input are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

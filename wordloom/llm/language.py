@@ -10,8 +10,9 @@ language, those first in hash order of the id; that bound is the only sample. ``
 languages; one it doesn't list is a family of its own.
 
 A text that is null or has no letter is ``und`` with score 0. With no training text every prediction is
-``und``. With one language every other text gets it. Repeated rows give repeated rows, an empty table an empty
-one; other columns of the input are ignored, whatever their names. Ties between classes go to the larger summed margin.
+``und``. With one language every other text gets it. A very long text is read whole, in one task, with a few times its
+bytes in memory. Repeated rows give repeated rows, an empty table an empty one; other columns of the input are ignored,
+whatever their names. Ties between classes go to the larger summed margin.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ Labels come only from rows whose crc32(doc_id) mod 4 is not 2, and the trees are
 several labels counts once for each.
 
 Null and empty texts have statistics too (all zero) and get a score. With no labels the score is 0.5 for all; with
-one class only it is that class's share, smoothed. Repeated rows give repeated rows; other columns are ignored.
+one class only it is that class's share, smoothed. A very long text is read whole, in one task, with a few times its bytes
+in memory. Splits of equal gain go to the first statistic in the order of ``STATS``, then the lowest limit; sampled rows of
+equal hash are ordered by id and label. Repeated rows give repeated rows, an empty table an empty one; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,16 +6,18 @@
 identifiers, are estimated from labelled samples: strings that the patterns caught (label 1) and long words of
 letters (label 0), from at most ``MAX_SAMPLE`` documents, those first in hash order of the id; that bound is the only
 sample. A transition backs off to how common its second character is, with the weight of ``BACKOFF`` draws; that is
-smoothed by one draw of each character in random strings, half a one in identifiers. A token (a run of
-``ALPHABET`` of 16 characters or more, with a letter, outside the patterns' spans) is a secret if its
-log-likelihood ratio is at least ``MIN_RATIO`` in all and ``MIN_EACH`` for each pair of characters; kind ``markov``.
+smoothed by one draw of each character in random strings, half a one in identifiers. Tokens are runs of ``ALPHABET``; the
+patterns' spans are cut out of them, and what is left on either side is a token by itself. One of ``MIN_TOKEN``
+characters or more, with a letter, is a secret if its log-likelihood ratio is at least ``MIN_RATIO`` in all and
+``MIN_EACH`` for each pair of characters; kind ``markov``.
 
 Spans are counted in code points, end exclusive. Everything is DataFrame functions: the spans of a text come from its
 split at the matches, and the models are a literal array of a fixed size.
 
 A null text is empty and has no span. Texts without a match cost one pass for each pattern. Repeated rows give
 repeated rows. With no samples both models are their smoothing alone. An empty table gives an empty result.
-Columns beside doc_id and text are carried along by ``redact``, whatever their names.
+Columns beside doc_id and text are carried along by ``redact``, whatever their names. Spans of several kinds that start at the
+same place are ordered by kind, as listed.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ PATTERNS = (
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
-TOKEN = r"[A-Za-z0-9+/_-]{16,}"
+MIN_TOKEN = 16
+TOKEN = rf"[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}"
 WORD = r"[A-Za-z]{8,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 MAX_SAMPLE = 20_000
@@ -137,16 +140,30 @@ def ratio(token: Column, model: Column) -> Column:
                        lambda a, i: a + F.element_at(model, (place(i) - 1) * len(ALPHABET) + place(i + 1)))
 
 
+def beside(token: Column, base: Column) -> Column:
+    """The parts of a token's span that no base span covers."""
+    def cut(near: Column) -> Column:
+        starts = F.filter(F.array_distinct(F.concat(F.array(token["start"]), F.transform(near, lambda b: b["end"]))),
+                          lambda p: (p < token["end"]) & ~F.exists(near, lambda b: (b["start"] <= p) & (p < b["end"])))
+        later = lambda p: F.transform(F.filter(near, lambda b: b["start"] > p), lambda b: b["start"])
+        return F.transform(starts, lambda p: F.struct(p.alias("start"), token["kind"].alias("kind"),
+                                                      F.array_min(F.concat(F.array(token["end"]), later(p))).alias("end")))
+
+    overlapping = F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
+    return let(overlapping, lambda near: F.when(F.size(near) == 0, F.array(token)).otherwise(cut(near)).cast(f"array<{SPAN}>"))
+
+
 def all_spans(text: Column, base: Column, model: list[float]) -> Column:
     """The base spans and those of the tokens that the models take for secrets, by start, then kind."""
     weights = F.from_json(F.lit(json.dumps(model)), "array<double>")
 
     def secret(s: Column) -> Column:
         token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        free = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return free & token.rlike("[A-Za-z]") & let(ratio(token, weights), lambda r: (r >= MIN_RATIO) & (r >= MIN_EACH * (s["end"] - s["start"] - 1)))
+        long = s["end"] - s["start"] >= MIN_TOKEN
+        return long & token.rlike("[A-Za-z]") & let(ratio(token, weights), lambda r: (r >= MIN_RATIO) & (r >= MIN_EACH * (s["end"] - s["start"] - 1)))
 
-    return F.array_sort(F.concat(base, F.filter(matches(text, TOKEN, 0, 16, len(PATTERNS)), secret)))
+    tokens = F.flatten(F.transform(matches(text, TOKEN, 0, MIN_TOKEN, len(PATTERNS)), lambda t: beside(t, base)))
+    return F.array_sort(F.concat(base, F.filter(tokens, secret)))
 
 
 def scan(docs: DataFrame, model: list[float]) -> DataFrame:
