@@ -47,7 +47,40 @@ def test_softmax_sums_to_one(spark):
     assert [r["prediction"] for r in out] == [0.0, 1.0]
 
 
-def test_model_matrix_checks_classes(spark):
+def test_linear_model_checks_classes(spark):
     bad = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "class int, weights array<double>")
     with pytest.raises(ValueError):
-        SC.model_matrix(bad)
+        SC.linear_model(bad)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 8, 9, 33])
+def test_scores_in_row_and_in_blocks(spark, monkeypatch, k):
+    """Any number of classes, ties of margins, null features, repeated rows; the model as a literal and as a table in blocks."""
+    rnd = random.Random(k)
+    rows = [[float(rnd.randint(-2, 2)) for _ in range(3)] for _ in range(k)]
+    xs = [[float(rnd.randint(-2, 2)) for _ in range(3)] for _ in range(60)]
+    df = spark.createDataFrame([*enumerate(xs), (0, xs[0]), (99, None)], "id int, f array<double>")
+    model = spark.createDataFrame(list(enumerate(rows)), "class int, weights array<double>")
+    literal = SC.linear_model(model)
+    assert literal == rows
+    monkeypatch.setattr(SC, "IN_ROW_VALUES", 0)
+    monkeypatch.setattr(SC, "BLOCK_VALUES", 7)
+    blocks = SC.linear_model(model)
+    assert blocks.n_classes == k and blocks.n_blocks == -(-k // 2)
+    for scores in (SC.legacy_scores, SC.softmax_scores):
+        a, b = (sorted(map(repr, scores(df, m, "f").collect())) for m in (literal, blocks))
+        assert a == b and len(a) == 62
+    for r in SC.legacy_scores(df, blocks, "f").where("f is not null").collect():
+        best, sc, final = loop_scores(r["f"], rows) if k > 1 else (0, [0.0], 0)
+        assert (r["prediction"], r["final"]) == (best, final) and r["scores"] == pytest.approx(sc)
+
+
+def test_scores_of_twenty_thousand_classes(spark):
+    rnd = random.Random(2)
+    rows = [[rnd.uniform(-1, 1) for _ in range(4)] for _ in range(20_000)]
+    xs = [[rnd.uniform(-2, 2) for _ in range(4)] for _ in range(6)]
+    df = spark.createDataFrame(list(enumerate(xs)), "id int, f array<double>")
+    for r in SC.legacy_scores(df, rows, "f").collect():
+        best, sc, final = loop_scores(xs[r["id"]], rows)
+        assert (r["prediction"], r["final"]) == (best, final)
+        assert r["scores"] == pytest.approx(sc)

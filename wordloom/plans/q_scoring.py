@@ -26,7 +26,7 @@ def _embeddings(spark, sf):
 def _model(spark, sf):
     e = _embeddings(spark, sf)
     cents = FT.label_centroids(e.select("label", "embedding"))
-    return SC.model_matrix(cents.select(F.col("label").alias("class"), F.col("centroid").alias("weights")))
+    return SC.linear_model(cents.select(F.col("label").alias("class"), F.col("centroid").alias("weights")))
 
 
 def _legacy(spark, sf):
