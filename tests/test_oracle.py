@@ -22,4 +22,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_catalogue_complete():
     q = queries()
-    assert len(q) == 67 and len(oracle_sql()) == 56
+    assert len(q) == 67 and len(oracle_sql()) == 64
