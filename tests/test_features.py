@@ -55,6 +55,17 @@ def test_pattern_flags_against_all_pairs(spark):
     assert sorted((r["doc_id"], r["pattern_id"]) for r in got.collect()) == [(i, k) for i, t in texts for k, s in sets if s and set(s) <= set(t or [])]
 
 
+def test_pattern_flags_are_found_where_the_tokens_are(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, ["a", "b"]), (1, ["c"]), (None, ["a"]), (None, ["c"]), (2, ["b", None]), (3, [])], "doc_id int, toks array<string>")
+    sets = spark.createDataFrame([(0, ["a", "c"]), (1, ["b"]), (2, ["b", "x"]), (3, [])], "pattern_id int, items array<string>")
+    flags = P.pattern_flags(texts, "toks", sets)
+    assert "Exchange hashpartitioning" not in flags._jdf.queryExecution().toString()
+    got = sorted(map(str, flags.collect()))
+    monkeypatch.setattr(P, "MAX_INDEX_ROWS", 0)
+    assert got == sorted(map(str, P.pattern_flags(texts, "toks", sets).collect()))
+    assert len(got) == 4
+
+
 def test_wcp_scores_smoothing(spark):
     import math
     tr = spark.createDataFrame([(0, "x", "a a b"), (1, "y", "b")], "doc_id int, label string, words string")

@@ -63,8 +63,11 @@ def pattern_flags(docs: DataFrame, tokens_col: str, patterns: DataFrame, id_col:
     index = (entries.groupBy("pattern_id").agg(F.min_by("token", F.struct("n", "token")).alias("token"), F.first("items").alias("items"),
                                                F.count("n").alias("known"))
              .where(F.col("known") == F.size("items")).select("token", "pattern_id", "items").checkpoint())
-    met = (each.join(maybe_broadcast(index, has_at_most(index, MAX_INDEX_ROWS)), "token")
-           .groupBy("doc_id").agg(F.collect_list(F.struct("pattern_id", "items")).alias("met")))
+    flag = F.lit(1.0).alias("flag")
+    if has_at_most(index, MAX_INDEX_ROWS):  # the pattern is compared where its token is met: nothing is shuffled or gathered
+        near = held.select("doc_id", "held", F.explode("held").alias("token")).join(F.broadcast(index), "token")
+        return near.where(F.size(F.array_except("items", "held")) == 0).select("doc_id", "pattern_id", flag)
+    met = each.join(index, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pattern_id", "items")).alias("met"))
     present = F.filter("met", lambda p: F.size(F.array_except(p["items"], F.col("held"))) == 0)
     both = met.withColumnRenamed("doc_id", "_id").join(held, F.col("_id").eqNullSafe(F.col("doc_id")))
-    return both.select("doc_id", F.explode(F.transform(present, lambda p: p["pattern_id"])).alias("pattern_id")).select("doc_id", "pattern_id", F.lit(1.0).alias("flag"))
+    return both.select("doc_id", F.explode(F.transform(present, lambda p: p["pattern_id"])).alias("pattern_id")).select("doc_id", "pattern_id", flag)
