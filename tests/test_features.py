@@ -124,6 +124,26 @@ def test_words_meet_large_tables_the_same_way(spark, monkeypatch):
     assert results() == want
 
 
+def test_words_of_a_large_model_are_shuffled_once_if_rare(spark, monkeypatch):
+    """Frequent words of the model, whole classes of count, meet the texts by broadcast; no text is pre-counted by a shuffle."""
+    from wordloom.operators import common as CM
+    words = [" ".join([f"w{i % 20}", f"w{i % 20}", f"u{i}"]) for i in range(100)]
+    df = spark.createDataFrame([(i, "xy"[i % 2], w) for i, w in enumerate(words)], "doc_id int, label string, words string")
+    model = FT.fit_wcp(df)
+    want = sorted((r["doc_id"], r["label"], round(r["score"], 9)) for r in FT.score_wcp(model, df).collect())
+    row = FT.WORD_BYTES + 8 * 2
+    monkeypatch.setattr(FT, "KNOWN_BYTES", 60 * row)
+    assert {r["word"] for r in FT._well_known(model, row).collect()} == {f"w{i}" for i in range(20)}
+    monkeypatch.setattr(CM, "MAX_BROADCAST_BYTES", 400)
+    monkeypatch.setattr(CM, "FREQUENT_WORDS", 3)
+    got = FT.score_wcp(model, df)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [doc_id") == 1
+    assert sorted((r["doc_id"], r["label"], round(r["score"], 9)) for r in got.collect()) == want
+    monkeypatch.setattr(FT, "KNOWN_BYTES", row)
+    assert FT._well_known(model, row) is None
+    assert sorted((r["doc_id"], r["label"], round(r["score"], 9)) for r in FT.score_wcp(model, df).collect()) == want
+
+
 def test_join_features_many_to_many(spark):
     f = spark.createDataFrame([(1, 0.5), (1, 0.7), (2, 0.1)], "doc_id int, v double")
     r = spark.createDataFrame([(1, 1.0), (1, 0.0), (2, None)], "doc_id int, label double")

@@ -18,12 +18,13 @@ from wordloom import constants as K
 from wordloom.functions.hashing import md5_bucket, md5_unit
 from wordloom.functions.text import tokens
 from wordloom.functions.vectors import as_double_array, cosine, pad
-from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, join_words, maybe_broadcast
+from wordloom.operators.common import MAX_BROADCAST_ROWS, bounded_distinct, fits_broadcast, join_words, maybe_broadcast
 from wordloom.operators.labels import global_row_number
 
 MAX_CLASSES = 100_000
 WORD_BYTES = 48  # estimated bytes of a word key and row overhead
 QUERY_BLOCK_BYTES = 16 * 1024 * 1024  # query vectors that one pass over the rows of similar_topk takes
+KNOWN_BYTES = 32 * 1024 * 1024  # a larger model's most frequent words, which texts meet by broadcast
 WIDE_CLASSES = 256  # up to this many classes, per-class counts are columns of one aggregate
 
 
@@ -148,15 +149,31 @@ def fit_wcp(train: DataFrame, label: str = "label", text: str = "words",
     return WcpModel(words.select("word", "lnv"), classes, tot["n_words"])
 
 
+def _well_known(model: WcpModel, row_bytes: int) -> DataFrame | None:
+    """The model's most frequent words, at most ``KNOWN_BYTES`` of it: whole classes of count (1, 2-3, 4-7, ...) from the top."""
+    seen = F.aggregate(F.transform("lnv", lambda x: F.expm1(x)), F.lit(0.0), lambda s, x: s + x)
+    level = F.floor(F.log2(F.greatest(seen, F.lit(1.0)))).cast("int")
+    room, lowest = KNOWN_BYTES // row_bytes, None
+    for r in sorted(model.words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        room -= r["n"]
+        if room < 0:
+            break
+        lowest = r["level"]
+    return None if lowest is None else model.words.where(level >= lowest).select("word")
+
+
 def _wcp_sums(model: WcpModel, score: DataFrame, text: str, id_col: str) -> DataFrame:
     """Per text: token count ``L`` and, per class, ``sum over tokens of ln(1 + n_cw)``.
 
     With a model proven small, tokens meet it by broadcast (no shuffle of tokens) and the sums
-    are partially aggregated per text before the only shuffle. A larger model meets them by ``common.join_words``."""
+    are partially aggregated per text before the only shuffle. A larger model meets them by ``common.join_words``, its most
+    frequent words by broadcast."""
     k = len(model.classes)
     toks = score.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("w")) \
         .select("doc_id", F.lower("w").alias("word"))
-    j = join_words(toks, model.words, ["doc_id"], model.n_words, WORD_BYTES + 8 * k, "_k", "left")
+    row = WORD_BYTES + 8 * k
+    known = None if fits_broadcast(model.n_words, row) else _well_known(model, row)
+    j = join_words(toks, model.words, ["doc_id"], model.n_words, row, "_k", "left", known)
     sums = [F.sum(F.col("_k") * F.coalesce(F.col("lnv")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(k)]
     return j.groupBy("doc_id").agg(F.sum("_k").alias("L"), *sums)
 
