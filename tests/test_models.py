@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, SF_MID
+from wordloom.operators import features as FT
 from wordloom.plans import models as MD
 from wordloom.plans import q_models as QM
 
@@ -162,3 +163,19 @@ def test_similar_words_among_all(spark):
     assert sorted(got) == ["der", "the"]
     for w, near in got.items():
         assert near == [r["word"] for r in model.findSynonyms(w, 5).collect()]
+
+
+def test_word_vector_means_without_a_join(spark):
+    """The vectors are read by the tasks in blocks: the plan neither joins nor broadcasts them; rows of one id are one text."""
+    rows = [(i, "xy"[i % 2], f"a b c{i % 4} d{i}") for i in range(40)] + [(None, "x", "a"), (None, "x", "b zz"), (7, "y", "c1 c1"), (90, "x", "zz"), (91, None, "a a b"), (92, "x", ""), (93, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, label string, words string")
+    model = MD.fit_word2vec(df.dropna(subset=["words"]), vector_size=6, min_count=2, num_partitions=1)
+    want = FT.doc_vector_mean(df, MD.word_vectors(model), dim=6, carry=("label",)).collect()
+    for block_bytes in (MD.BLOCK_BYTES, 40):
+        got = MD.w2v_features(model, df, block_bytes=block_bytes)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "MapInArrow" in plan
+        found = {(r["doc_id"], r["label"]): r["features"].toArray().tolist() for r in got.collect()}
+        assert len(found) == len(want) == 43
+        for r in want:
+            assert found[r["doc_id"], r["label"]] == pytest.approx(r["features"])
