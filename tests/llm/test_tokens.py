@@ -232,3 +232,15 @@ def test_word_ids_equal_the_library_on_random_text(monkeypatch):
         ids, sizes = words.encode(pa.array(texts))
         for t, x in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
             assert x.tolist() == whole.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def test_ascii_pieces_are_spelt_as_they_are():
+    """The alphabet of bytes maps printable ASCII to itself, so only other pieces are translated."""
+    pieces = token_store.PieceIds(P.path("word_bpe_49k.json"))
+    marks = "".join(map(chr, range(33, 127)))
+    assert marks.translate(pieces.alphabet) == marks
+    want = pieces.whole.encode("hello 7 ... z}", add_special_tokens=False).ids
+    pieces.alphabet = None
+    some = ["hello", "7", "...", "z", "}"]
+    pieces.learn(some)
+    assert [i for p in some for i in memoryview(pieces[p]).cast("I")] == want

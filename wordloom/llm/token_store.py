@@ -211,8 +211,8 @@ class PieceIds(dict):
         self.ends = np.array([(self.whole.id_to_token(i) or "").endswith("</w>") for i in range(self.whole.get_vocab_size())])
 
     def learn(self, pieces: list[str]) -> None:
-        """Every piece's last id, and no other, is one that ends a word."""
-        spelt = [p.encode().decode("latin-1").translate(self.alphabet) for p in pieces]
+        """Every piece's last id, and no other, is one that ends a word. Pieces hold no blanks, so those of ASCII are spelt as they are."""
+        spelt = [p if p.isascii() else p.encode().decode("latin-1").translate(self.alphabet) for p in pieces]
         ids = np.array(self.merges.encode_batch_fast([spelt], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
         end = np.flatnonzero(self.ends[ids]) + 1
         if len(end) != len(pieces):
