@@ -294,6 +294,21 @@ def test_longest_factors():
         assert lnf.tolist() == [max((common(i, j) for j in range(i + 1, len(x))), default=0) for i in range(len(x))]
 
 
+def test_longest_factors_at_some_places():
+    rng = np.random.default_rng(17)
+    for _ in range(30):
+        x = rng.integers(0, 2, 60)
+        at = np.flatnonzero(rng.random(60) < 0.3)
+        def common(i, j):
+            n = 0
+            while max(i, j) + n < len(x) and x[i + n] == x[j + n] and n < 12:
+                n += 1
+            return n
+        lpf, lnf = substrings.factors(x, 12, at)
+        assert lpf.tolist() == [max((common(i, j) for j in at if j < i), default=0) for i in at]
+        assert lnf.tolist() == [max((common(i, j) for j in at if j > i), default=0) for i in at]
+
+
 def test_suffix_ranks_at_every_length():
     rng = np.random.default_rng(8)
     for high in (2, 300, 40_000, 1 << 33):
