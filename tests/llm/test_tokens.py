@@ -244,3 +244,18 @@ def test_ascii_pieces_are_spelt_as_they_are():
     some = ["hello", "7", "...", "z", "}"]
     pieces.learn(some)
     assert [i for p in some for i in memoryview(pieces[p]).cast("I")] == want
+
+
+def test_known_pieces_of_a_slice_are_not_learned_again(monkeypatch):
+    """A full cache forgets what the slice at hand does not have, and no more."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_store, "CACHE_PIECES", 5)
+    pieces, learned = token_store.PieceIds(P.path("word_bpe_49k.json")), []
+    learn = pieces.learn
+    monkeypatch.setattr(pieces, "learn", lambda some: (learned.append(sorted(some)), learn(some)))
+    for text in ("one two three four", "two four five six", "two four five six"):
+        ids, _ = pieces.encode(pa.array([text, None]))
+        assert ids.tolist() == pieces.whole.encode(text, add_special_tokens=False).ids
+    assert learned == [["four", "one", "three", "two"], ["five", "six"]]
+    assert sorted(pieces) == ["five", "four", "six", "two"]

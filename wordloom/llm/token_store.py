@@ -51,7 +51,7 @@ END = 2
 FILE_TOKENS = 2_000_000
 #: Documents that a task encodes at a time.
 DOCS = 1024
-#: Distinct pieces whose ids a worker remembers before it starts afresh.
+#: Distinct pieces whose ids a worker remembers before it forgets those that the slice at hand does not have.
 CACHE_PIECES = 200_000
 MAGIC = b"WLDAC001"
 BLOCK, WORD = 512, 64
@@ -228,15 +228,16 @@ class PieceIds(dict):
         texts = [t or "" for t in texts.to_pylist()]
         plain = [self.is_plain(t) for t in texts]
         cut = [self.PIECES.findall(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
-        flat = pa.array(itertools.chain.from_iterable(cut), pa.large_string()).dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
+        flat = pa.array(list(itertools.chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         unknown = [w for w in distinct if w not in self]
         if len(self) + len(unknown) > CACHE_PIECES:
+            known = {w: self[w] for w in distinct if w in self}
             self.clear()
-            unknown = distinct
+            self.update(known)
         if unknown:
             self.learn(unknown)
-        spelt = pa.array(map(self.__getitem__, distinct), pa.large_binary()).take(flat.indices)
+        spelt = pa.array(list(map(self.__getitem__, distinct)), pa.large_binary()).take(flat.indices)
         ends = np.frombuffer(spelt.buffers()[1], "<i8", len(spelt) + 1) if len(spelt) else np.zeros(1, np.int64)
         ids = np.frombuffer(spelt.buffers()[2], "<u4", int(ends[-1]) // 4) if len(spelt) else np.zeros(0, "<u4")
         sizes = np.diff(ends[np.concatenate(([0], np.cumsum([len(c) for c in cut], dtype=np.int64)))] // 4)
