@@ -201,6 +201,29 @@ def test_toxicity_evidence(spark):
             assert {side: r[prefix + side] for side in want} == pytest.approx(want, abs=1e-5), (r, prefix)
 
 
+def test_toxicity_asks_by_block(spark, monkeypatch):
+    """A block asks once for its words, however many texts it has; small blocks, many parts and several turns give the same evidence."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice(["", "", "x", str(i)]) for _ in range(rng.randint(0, 30)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    train = spark.createDataFrame([(t, i % 3 // 2) for i, t in rows[:200]], "text string, y int")
+    ordered = lambda model, turns=1: [[r[p] for p in toxicity.PARTS] for r in toxicity.evidence(docs, model, turns).orderBy("doc_id").collect()]
+    model = toxicity.fit_counts(train)
+    texts, _ = toxicity.blocks(docs, "doc_id")
+    assert texts.count() == 3 and texts.agg(F.sum("size"), F.sum("tokens")).first()[:] == (300, sum(len(t.split()) for _, t in rows))
+    assert toxicity.ask_words(texts, model.starts).count() == 3 * len(model.starts)
+    want = ordered(model)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(toxicity, "PART_WORDS", 500)
+    monkeypatch.setattr(toxicity, "ASKED_WORDS", 100)
+    small = toxicity.fit_counts(train)
+    assert len(small.starts) > 4 and toxicity.blocks(docs, "doc_id")[0].count() > 10
+    assert (small.d, small.e, small.k, small.v, small.kinds, small.toxic) == (model.d, model.e, model.k, model.v, model.kinds, model.toxic)
+    assert sorted(small.pairs.collect()) == sorted(model.pairs.collect())
+    got = ordered(small, turns=2)
+    assert len(got) == 300 and all(x == pytest.approx(y, abs=1e-9, nan_ok=True) for x, y in zip(got, want))
+
+
 def test_toxicity_score_from_evidence(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice("red blue green idiot stone".split() if i % 3 else "red blue green stone".split()) for _ in range(12))) for i in range(300)]
