@@ -119,10 +119,15 @@ class Index(dict):
         return n
 
 
+def of_turn(docs: DataFrame, turn: int, turns: int) -> DataFrame:
+    """The rows of the partitions whose turn it is."""
+    return docs.where(F.spark_partition_id() % turns == turn) if turns > 1 else docs
+
+
 def blocks(docs: DataFrame, key: str, turn: int = 0, turns: int = 1) -> tuple[DataFrame, str]:
     """The words of the texts with the numbers of ``key``, a row for about ``BLOCK_BYTES`` of text (or one longer text):
-    hashes of the block's words, most frequent first (equally frequent ones in order), and the texts as numbers of them. Of the partitions of ``docs`` those whose turn it is
-    are read. The second result is the folder that holds them."""
+    hashes of the block's words, most frequent first (equally frequent ones in order), and the texts as numbers of them. ``turn`` only sets their numbers apart. The second
+    result is the folder that holds them."""
     struct = StructType.fromDDL(BLOCK)
 
     def row(number: int, keys: list, texts: list[np.ndarray], index: Index) -> pa.RecordBatch:
@@ -136,7 +141,7 @@ def blocks(docs: DataFrame, key: str, turn: int = 0, turns: int = 1) -> tuple[Da
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, to_arrow_schema(struct), strict=True)], schema=to_arrow_schema(struct))
 
     def run(batches):
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() * turns + turn << 32
         keys, texts, index, size = [], [], Index(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -153,10 +158,7 @@ def blocks(docs: DataFrame, key: str, turn: int = 0, turns: int = 1) -> tuple[Da
             yield row(number, keys, texts, index)
 
     folder = scratch_path(docs.sparkSession, "toxicity")
-    rows = docs.select(F.col(key).cast("long").alias("key"), "text")
-    if turns > 1:
-        rows = rows.where(F.spark_partition_id() % turns == turn)
-    rows.mapInArrow(run, struct).write.parquet(folder)
+    docs.select(F.col(key).cast("long").alias("key"), "text").mapInArrow(run, struct).write.parquet(folder)
     return docs.sparkSession.read.schema(struct).parquet(folder), folder
 
 
@@ -402,8 +404,13 @@ def n_words(texts: DataFrame) -> int:
     return texts.agg(F.sum("tokens")).first()[0] or 0
 
 
-def fit_counts(train: DataFrame) -> Model:
-    texts, written = blocks(train, "y")
+def fit_counts(*train: DataFrame) -> Model:
+    """Of the rows (text, y) of all tables."""
+    spark, written = train[0].sparkSession, []
+    for turn, rows in enumerate(train):
+        written.append(blocks(rows, "y", turn, len(train))[1])
+        release(spark)
+    texts = spark.read.schema(BLOCK).parquet(*written)
     n_parts = 1 + n_words(texts) // PART_WORDS
     starts = np.array([p * 2**64 // n_parts for p in range(n_parts)], np.uint64)
     asked = ask_words(texts, starts)
@@ -423,8 +430,8 @@ def fit_counts(train: DataFrame) -> Model:
     counted = counted.applyInArrow(of_group(f"kind int, {CELL}", lambda t: merged_pairs(t, offsets)), f"kind int, {CELL}").checkpoint()
     pairs = counted.where("kind = 0").drop("kind")
     words = words.groupBy("part").cogroup(counted.where("kind > 0").groupBy("part")).applyInArrow(of_group(CELL, with_counts, two=True), CELL).checkpoint()
-    forget(train.sparkSession, folder, written)
-    release(train.sparkSession)
+    forget(spark, folder, *written)
+    release(spark)
     d, n, _, _ = discounts(pairs)
     e, k, v, kinds = discounts(words)
     return Model(words, pairs, starts, offsets, d, e, k, v, kinds, (n[1] + 1) / (sum(n) + 2))
@@ -488,7 +495,7 @@ def parts_of(block: Block, counts: list[np.ndarray], seen: np.ndarray, prices: P
 
 def priced(docs: DataFrame, model: Model, turn: int, turns: int) -> DataFrame:
     """_key and the parts of the evidence of the texts that have a word, of the partitions whose turn it is, checkpointed."""
-    texts, written = blocks(docs, "_key", turn, turns)
+    texts, written = blocks(of_turn(docs, turn, turns), "_key")
     salts = 1 + n_words(texts) // (ASKED_WORDS * len(model.starts))
     texts = texts.where("tokens > 0")
     starts, offsets, all_ = model.starts, model.offsets, int(model.offsets[-1])
@@ -548,12 +555,23 @@ def fit_curve(e: np.ndarray, y: np.ndarray) -> tuple[list[float], float, float]:
     return (w[:-1] / spread).tolist(), float(w[-1]), share
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_curve: int = MAX_CURVE) -> Model:
+def training(docs: DataFrame, marked: DataFrame, turns: int) -> list[DataFrame]:
+    """(text, y) of the marked rows, texts that a class has several times once, for each turn. Which rows these are is settled
+    without the texts, so that those of one turn at most are shuffled at a time."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("same"))
+    own = (F.spark_partition_id() % turns).alias("turn")
+    first = docs.select("doc_id", "same", own).join(marked, "doc_id").groupBy("y", "same").agg(F.min(F.struct("turn", "doc_id")).alias("row"))
+    first = first.select("y", "same", "row.*").checkpoint()
+    rest = fold("doc_id", HELD_OUT[0])
+    docs = docs.where((rest != HELD_OUT[1]) & (rest != CURVE))
+    return [of_turn(docs, i, turns).join(first.where(F.col("turn") == i), ["doc_id", "same"]).dropDuplicates(["y", "same"]).select("text", "y") for i in range(turns)]
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_curve: int = MAX_CURVE, turns: int = 1) -> Model:
     rest = fold("doc_id", HELD_OUT[0])
     marked = labels.where((rest != HELD_OUT[1]) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("y"))
     docs = docs.select("doc_id", "text")
-    train = docs.join(marked.where(rest != CURVE), "doc_id").select("text", "y", F.xxhash64("text").alias("same"))
-    model = fit_counts(train.dropDuplicates(["y", "same"]).select("text", "y"))
+    model = fit_counts(*training(docs, marked.where(rest != CURVE), turns))
     sample = marked.where(rest == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_curve)
     got = evidence(docs.join(F.broadcast(sample), "doc_id"), model).select("y", *PARTS).toArrow()
     e = np.array([got.column(c).to_pylist() for c in PARTS], float).reshape(len(PARTS), -1).T
@@ -575,4 +593,4 @@ def classify(docs: DataFrame, model: Model, turns: int = 1) -> DataFrame:
 def q_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     turns = max(1, min(TURNS, docs.rdd.getNumPartitions() // TURN_PARTITIONS))
-    return classify(docs, fit(docs, table(spark, sf_dir, "labels")), turns)
+    return classify(docs, fit(docs, table(spark, sf_dir, "labels"), turns=turns), turns)
